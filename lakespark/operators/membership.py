@@ -189,14 +189,15 @@ def inside_any_lake(
 def clip_points(
     points: DataFrame,
     region: DataFrame,
+    region_id: str = "region_id",
     lat: str = "latitude",
     lon: str = "longitude",
-    cell: float = 0.25,
+    cell: float = 0.05,
 ) -> DataFrame:
-    """Points strictly inside the region polygons."""
-    shaped = region.select(F.lit(1).cast("long").alias("Hylak_id"), F.lit(0).alias("lake_order"), "polygons")
-    found = assign_lake(points, shaped, lat, lon, "_in", cell)
-    return found.where(F.col("_in") > 0).drop("_in")
+    """Points strictly inside any of the region polygons (one row per ``region_id``)."""
+    numbered = region.select((F.col(region_id).cast("long") + 1).alias("_region"), "polygons")
+    found = assign_lake(points, numbered, lat, lon, "_in", cell, id_col="_region", order_col="_region")
+    return found.where(F.col("_in") != 0).drop("_in")
 
 
 # --- polygon against polygon -----------------------------------------------------------
