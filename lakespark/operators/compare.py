@@ -14,6 +14,7 @@ from lakespark.operators.quantiles import (
     summarize,
 )
 from lakespark.operators.stats import count_if
+from lakespark.session import settle
 
 RATIO_FLOOR = 0.01
 BINS = 8
@@ -58,6 +59,8 @@ def _correlation(x: str, y: str, guard: Column) -> Column:
 def pair_metrics(pairs: DataFrame, keys: Sequence[str] = (), full: bool = False) -> DataFrame:
     """Agreement of x and y per group; ``full`` adds the regression and ratio block."""
     keys = list(keys)
+    # ranks and medians read the pairs several times; the way they were made is long
+    pairs = settle(pairs.select(*keys, "x", "y"))
     ranked = average_ranks(average_ranks(pairs, keys, "x", "rx"), keys, "y", "ry")
     d = F.col("y") - F.col("x")
     varied = (F.count(F.lit(1)) >= 2) & (F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0)
@@ -96,7 +99,7 @@ def binned_medians(
     keys = list(keys)
     one = [] if keys else [F.lit(1).alias("_all")]
     scope = keys or ["_all"]
-    data = pairs.select("*", *one)
+    data = settle(pairs.select(*keys, "x", "y")).select("*", *one)
     span = data.groupBy(*scope).agg(
         F.greatest(F.min("x"), F.lit(limit)).alias("x_min"), F.max("x").alias("x_max")
     )

@@ -278,7 +278,8 @@ def raster_cells(grid: DataFrame) -> DataFrame:
     Rows are generated first and spread over the tasks before columns are.
     """
     rows = grid.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ny") - 1)))
-    cells = rows.repartition("scene_id", "row").withColumn(
+    tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = rows.repartition(tasks, "scene_id", "row").withColumn(
         "col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1))
     )
     return cells.select(
@@ -379,9 +380,13 @@ def occupied_chunks(indexed: DataFrame, grid: DataFrame, keys: Sequence[str] = (
 
 def _cells_in(scene_lakes, grid, pieces, cell, x_of, y_of, row_span, col_span) -> DataFrame:
     """Grid cells whose centre lies strictly inside a lake, one polygon piece at a time."""
+    # pieces are small but each becomes many cells: spread them by number, so that the
+    # exchange is not coalesced by its size
+    tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
         scene_lakes.join(pieces.withColumnRenamed("id", "Hylak_id"), "Hylak_id")
         .join(grid, "scene_id")
+        .repartition(tasks, "scene_id", "Hylak_id", "cx", "cy")
         .withColumn("row", F.explode(row_span))
         .withColumn("_y", y_of)
         .where((F.col("row") >= 0) & (F.col("row") < F.col("ny")))

@@ -24,6 +24,7 @@ from lakespark.operators.dedupe import first_by
 from lakespark.operators.qa import comparison_valid, primary_valid
 from lakespark.operators.quantiles import summarize
 from lakespark.schema import NATIVE_BANDS, NATIVE_WAVELENGTHS
+from lakespark.session import settle
 
 NEAREST_RADIUS_M = 600.0
 SUBDIVISIONS = 32
@@ -69,6 +70,34 @@ def _point_distance2() -> Column:
     )
 
 
+_STEPS = float(1 << 58)
+
+
+def _id_span() -> Column:
+    return F.expr("cast(9223372036854775808 as decimal(19,0))")
+
+
+def _ordered() -> Column:
+    """Distance, then obs_id, as one fixed-width number, so that ``min`` can hash.
+
+    The squared distance keeps 58 bits relative to the reach, which is finer than the
+    coordinates themselves.
+    """
+    step = F.floor(F.col("_d2") / (F.col("_reach") * F.col("_reach")) * F.lit(_STEPS))
+    return (
+        step.cast("decimal(19,0)") * _id_span() + F.col("obs_id").cast("decimal(19,0)")
+    ).cast("decimal(38,0)")
+
+
+def _key_obs() -> Column:
+    return F.expr("cast(_key % cast(9223372036854775808 as decimal(19,0)) as bigint)")
+
+
+def _key_distance2() -> Column:
+    step = F.expr("_key div cast(9223372036854775808 as decimal(19,0))").cast("double")
+    return step / F.lit(_STEPS) * (F.col("_reach") * F.col("_reach"))
+
+
 def nearest_within(
     targets: DataFrame,
     pixels: DataFrame,
@@ -76,10 +105,11 @@ def nearest_within(
     target_id: Sequence[str],
     spherical: bool,
 ) -> DataFrame:
-    """(target_id, d2, obs_id) of the nearest pixel of every target that has one in reach.
+    """Every target with ``d2`` and ``obs_id`` of its nearest pixel in reach, else NULL.
 
     Both sides carry ``_reach`` (a function of ``on``) and coordinates: ``_tx _ty _tz``
     on targets, ``_x _y _z`` on pixels. Equal distances go to the smaller obs_id.
+    Targets without coordinates find nothing.
     """
     on, target_id = list(on), list(target_id)
     cube = F.col("_reach") * F.lit(2.0)
@@ -101,56 +131,68 @@ def nearest_within(
     )
     heads = ranked.where(F.col("_rank") == 1).drop("_rank", "_reach")
 
-    looking = targets.select(*on, *target_id, "_reach", "_tx", "_ty", "_tz")
+    looking = targets
     for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
         span = F.sequence(
             F.floor((F.col(axis) - F.col("_reach") * _ROUND) / cube).cast("long"),
             F.floor((F.col(axis) + F.col("_reach") * _ROUND) / cube).cast("long"),
         )
-        looking = looking.withColumn(n, F.explode(span))
-    looking = looking.where(_box_distance2(_CUBE, cube) <= reach2)
+        looking = looking.withColumn(n, F.explode_outer(span))
+    # a target keeps its own cube in any case, so that every target reaches the aggregate
+    own = F.lit(True)
+    for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
+        own = own & (F.col(n) == F.floor(F.col(axis) / cube).cast("long"))
+    useful = _box_distance2(_CUBE, cube) <= reach2
     if spherical:
-        looking = looking.where(_meets_sphere(cube))
+        useful = useful & _meets_sphere(cube)
+    looking = looking.where(F.coalesce(own | useful, F.lit(True)))
 
-    pairs = looking.join(heads, [*on, *_CUBE]).withColumns(
-        {"_d2": _point_distance2(), "_b2": _box_distance2(_FINE, fine)}
-    )
+    rest = [F.first(c).alias(c) for c in targets.columns if c not in target_id]
     in_reach = F.col("_d2") <= reach2
-    crowded = (F.col("_n") > 1) & (F.col("_b2") <= reach2)
-    # at most SUBDIVISIONS**2-fold small cubes per cube face meet one search ball
-    state = pairs.where(in_reach | crowded).groupBy(*on, *target_id, "_reach", "_tx", "_ty", "_tz").agg(
-        F.min(F.when(in_reach, F.struct("_d2", "obs_id"))).alias("_best"),
-        F.collect_list(
-            F.when(crowded, F.struct(*_CUBE, *_FINE, (F.col("_b2") / _ROUND).alias("_b2")))
-        ).alias("_open"),
-    )
-    settled = state.where(F.col("_best").isNotNull()).select(*target_id, "_best")
-    worth = F.coalesce(F.col("o._b2") <= F.col("_best._d2"), F.lit(True))
-    crowd = ranked.where(F.col("_n") > 1).drop("_n", "_rank", "_reach")
+    best = (
+        looking.join(heads.drop("_n"), [*on, *_CUBE], "left")
+        .withColumn("_d2", _point_distance2())
+        .groupBy(*target_id)
+        .agg(*rest, F.min(F.when(in_reach, _ordered())).alias("_key"))
+    )
+    crowd = ranked.where(F.col("_n") > 1)
+    if crowd.isEmpty():
+        # every small cube holds one pixel, so the representatives are all there is
+        return _answer(best, targets.columns)
+    # read twice below: once as the bound that prunes, once as the answer so far
+    best = settle(best)
+    bound = best.select(*target_id, (_key_distance2() * F.lit(_ROUND)).alias("_bound"))
+    inner = [*on, *_CUBE, *_FINE]
+    narrow = list(dict.fromkeys([*inner, *target_id, "_reach", "_tx", "_ty", "_tz"]))
+    open_cubes = (
+        looking.join(crowd.where(F.col("_rank") == 1).select(*inner), [*on, *_CUBE])
+        .withColumn("_b2", _box_distance2(_FINE, fine))
+        .where(F.col("_b2") <= reach2)
+        .join(bound, target_id)
+        .where(F.coalesce(F.col("_b2") <= F.col("_bound") * F.lit(_ROUND), F.lit(True)))
+        .select(*narrow)
+    )
     refined = (
-        state.where(F.size("_open") > 0)
-        .withColumn("o", F.explode("_open"))
-        .where(worth)
-        .select(*on, *target_id, "_reach", "_tx", "_ty", "_tz", *[F.col(f"o.{c}").alias(c) for c in (*_CUBE, *_FINE)])
-        .join(crowd, [*on, *_CUBE, *_FINE])
+        open_cubes.join(crowd.drop("_n", "_rank", "_reach"), inner)
         .withColumn("_d2", _point_distance2())
         .where(in_reach)
         .groupBy(*target_id)
-        .agg(F.min(F.struct("_d2", "obs_id")).alias("_best"))
+        .agg(F.min(_ordered()).alias("_closer"))
     )
-    return (
-        settled.unionByName(refined)
-        .groupBy(*target_id)
-        .agg(F.min("_best").alias("_best"))
-        .select(*target_id, F.col("_best._d2").alias("d2"), F.col("_best.obs_id").alias("obs_id"))
+    merged = best.join(refined, target_id, "left").withColumn("_key", F.least("_key", "_closer"))
+    return _answer(merged, targets.columns)
+
+
+def _answer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({"d2": _key_distance2(), "obs_id": _key_obs()}).select(
+        *columns, "d2", "obs_id"
     )
 
 
 def _on_sphere(df: DataFrame, lat: str, lon: str, names: Sequence[str]) -> DataFrame:
     v = geo.unit_sphere_xyz(F.col(lat), F.col(lon))
     return (
-        df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .withColumn("_v", v)
+        df.withColumn("_v", v)
         .withColumns({n: F.col(f"_v.{a}") for n, a in zip(names, "xyz")})
         .drop("_v")
     )
@@ -168,14 +210,16 @@ def nearest_on_sphere(
     """Targets with ``obs_id`` and ``match_distance_m``; NULL when nothing is in reach."""
     reach = F.lit(geo.metres_to_chord(radius_m))
     t = _on_sphere(targets, lat, lon, ("_tx", "_ty", "_tz")).withColumn("_reach", reach)
-    p = _on_sphere(pixels, "latitude", "longitude", ("_x", "_y", "_z")).withColumn("_reach", reach)
+    located = pixels.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    p = _on_sphere(located, "latitude", "longitude", ("_x", "_y", "_z")).withColumn("_reach", reach)
     metres = geo.chord_to_metres(F.sqrt("d2"))
-    found = (
-        nearest_within(t, p, on, target_id, spherical=True)
-        .select(*target_id, "obs_id", metres.alias("match_distance_m"))
-        .where(F.col("match_distance_m") <= radius_m)
+    found = nearest_within(t, p, on, target_id, spherical=True).withColumn("_m", metres)
+    near = F.col("_m") <= radius_m
+    return found.select(
+        *targets.columns,
+        F.when(near, F.col("obs_id")).alias("obs_id"),
+        F.when(near, F.col("_m")).alias("match_distance_m"),
     )
-    return targets.join(found, list(target_id), "left")
 
 
 def same_lake_nearest(
@@ -203,16 +247,13 @@ def same_lake_nearest_mercator(
     scales = middle.select(*on, scale.alias("_scale"))
     p = usable.join(scales, on).withColumn("_reach", F.lit(float(radius_m)) * F.col("_scale"))
     t = (
-        targets.join(scales, on)
+        targets.join(scales, on, "left")
         .withColumns({"_tx": F.col("x"), "_ty": F.col("y"), "_tz": F.lit(0.0)})
         .withColumn("_reach", F.lit(float(radius_m)) * F.col("_scale"))
     )
     found = nearest_within(t, p, on, target_id, spherical=False)
-    return (
-        targets.join(found, list(target_id), "left")
-        .join(scales, on, "left")
-        .withColumn("match_distance_m", F.sqrt("d2") / F.col("_scale"))
-        .drop("d2", "_scale")
+    return found.select(
+        *targets.columns, "obs_id", (F.sqrt("d2") / F.col("_scale")).alias("match_distance_m")
     )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so that an already running session can be adjusted.
 RUNTIME_CONF = {
@@ -20,3 +23,26 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """Shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="spark-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it back.
+
+    Cuts the lineage before a step that reads its input several times. The table
+    survives the loss of executors, and its size is known to the optimizer.
+    """
+    path = f"{_checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
