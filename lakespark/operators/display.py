@@ -28,13 +28,14 @@ def display_limits(df: DataFrame, metric: str, keys: Sequence[str] = ()) -> Data
         {"p02": ("v", 0.02), "p98": ("v", 0.98)},
         [F.count(shown).alias("n"), F.min(shown).alias("v_min"), F.max(shown).alias("v_max")],
     )
+    empty = F.coalesce("n", F.lit(0)) == 0
     narrow = (F.col("n") <= 20) | (F.col("p98") <= F.col("p02"))
     lo = F.when(narrow, F.col("v_min")).otherwise(F.col("p02"))
     hi = F.when(narrow, F.col("v_max")).otherwise(F.col("p98"))
     return out.select(
         *keys,
-        F.when(F.col("n") == 0, 0.0).otherwise(lo).alias("lo"),
-        F.when(F.col("n") == 0, 1.0).when(hi <= lo, lo + 1e-6).otherwise(hi).alias("hi"),
+        F.when(empty, 0.0).otherwise(lo).alias("lo"),
+        F.when(empty, 1.0).when(hi <= lo, lo + 1e-6).otherwise(hi).alias("hi"),
     )
 
 

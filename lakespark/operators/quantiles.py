@@ -181,8 +181,10 @@ def summarize(
     if not keys:
         one = summarize(
             df.withColumn("_all", F.lit(1)), ["_all"], metrics, wanted, aggs, ladder, buffered_rows
-        ).drop("_all")
-        return one
+        )
+        # an empty input still has one (empty) group
+        always = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
+        return always.join(one, "_all", "left").drop("_all")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = (
         sizes.where(F.col("_n") > buffered_rows)
