@@ -51,7 +51,7 @@ def nearest_band_rows(
     tolerance: float = 12.0,
 ) -> DataFrame:
     """`nearest_band` for a table of band names: one row per key, NULL beyond tolerance."""
-    nm = F.expr(f"try_cast(regexp_extract({name_col}, '{BAND_PATTERN}', 1) as double)")
+    nm = F.regexp_extract(name_col, BAND_PATTERN, 1).try_cast("double")
     ranked = (
         names.where(F.startswith(name_col, F.lit(prefix + "_")))
         .withColumn("nm", nm)

@@ -195,8 +195,8 @@ def polygons_intersect(
 ) -> Column:
     """Shared area or boundary: a ring starts inside the other, or two edges meet."""
     return (
-        F.exists(a_starts, lambda v: strictly_inside(b_edges, v.x, v.y))
-        | F.exists(b_starts, lambda v: strictly_inside(a_edges, v.x, v.y))
+        F.exists(b_starts, lambda v: strictly_inside(a_edges, v.x, v.y))
+        | F.exists(a_starts, lambda v: strictly_inside(b_edges, v.x, v.y))
         | F.exists(a_edges, lambda e: F.exists(b_edges, lambda f: segments_meet(e, f)))
     )
 

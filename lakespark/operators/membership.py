@@ -17,7 +17,7 @@ from lakespark.functions import geo
 from lakespark.functions.geo import METRES_PER_DEGREE
 
 CELL_DEG = 0.01
-PAIR_CELL_DEG = 1.0
+PAIR_CELL_DEG = (0.1, 2.0)
 LAKES_PER_ROW = 64
 BROADCAST_BYTES = 64 << 20
 
@@ -225,12 +225,25 @@ def boxes_meet(a: Column, b: Column) -> Column:
     return (a["w"] <= b["e"]) & (b["w"] <= a["e"]) & (a["s"] <= b["n"]) & (b["s"] <= a["n"])
 
 
+def _pair_cell(left: DataFrame, right: DataFrame) -> float:
+    """Half the mean size of the larger kind of polygon, so that few cells are shared in vain."""
+
+    def mean_size(df):
+        b = geo.polygon_bounds(F.col("polygons"))
+        boxes = df.where(F.col("polygons").isNotNull()).select(b.alias("b"))
+        extent = F.greatest(F.col("b.e") - F.col("b.w"), F.col("b.n") - F.col("b.s"))
+        return boxes.agg(F.avg(extent)).head()[0] or 0.0
+
+    low, high = PAIR_CELL_DEG
+    return max(low, min(high, max(mean_size(left), mean_size(right)) / 2))
+
+
 def intersecting_pairs(
     left: DataFrame,
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
-    cell: float = PAIR_CELL_DEG,
+    cell: float | None = None,
 ) -> DataFrame:
     """(left keys, right keys) of every two polygons that share a point.
 
@@ -238,6 +251,7 @@ def intersecting_pairs(
     bounding boxes; a pair is kept only in the south-west cell of its overlap, so
     no distinct is needed afterwards.
     """
+    cell = cell or _pair_cell(left, right)
     a = _spread(_shaped(left, left_keys, "l"), "l", cell)
     b = _spread(_shaped(right, right_keys, "r"), "r", cell)
     la, rb = F.col("l_box"), F.col("r_box")

@@ -131,26 +131,26 @@ def nearest_within(
     )
     heads = ranked.where(F.col("_rank") == 1).drop("_rank", "_reach")
 
-    looking = targets
-    for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
-        span = F.sequence(
-            F.floor((F.col(axis) - F.col("_reach") * _ROUND) / cube).cast("long"),
-            F.floor((F.col(axis) + F.col("_reach") * _ROUND) / cube).cast("long"),
-        )
-        looking = looking.withColumn(n, F.explode_outer(span))
-    # a target keeps its own cube in any case, so that every target reaches the aggregate
-    own = F.lit(True)
-    for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
-        own = own & (F.col(n) == F.floor(F.col(axis) / cube).cast("long"))
-    useful = _box_distance2(_CUBE, cube) <= reach2
-    if spherical:
-        useful = useful & _meets_sphere(cube)
-    looking = looking.where(F.coalesce(own | useful, F.lit(True)))
+    def look(df: DataFrame) -> DataFrame:
+        """One row per target and cube that its search ball meets."""
+        own = F.lit(True)
+        for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
+            span = F.sequence(
+                F.floor((F.col(axis) - F.col("_reach") * _ROUND) / cube).cast("long"),
+                F.floor((F.col(axis) + F.col("_reach") * _ROUND) / cube).cast("long"),
+            )
+            df = df.withColumn(n, F.explode_outer(span))
+            own = own & (F.col(n) == F.floor(F.col(axis) / cube).cast("long"))
+        useful = _box_distance2(_CUBE, cube) <= reach2
+        if spherical:
+            useful = useful & _meets_sphere(cube)
+        # a target keeps its own cube in any case, so that every target reaches the aggregate
+        return df.where(F.coalesce(own | useful, F.lit(True)))
 
     rest = [F.first(c).alias(c) for c in targets.columns if c not in target_id]
     in_reach = F.col("_d2") <= reach2
     best = (
-        looking.join(heads.drop("_n"), [*on, *_CUBE], "left")
+        look(targets).join(heads.drop("_n"), [*on, *_CUBE], "left")
         .withColumn("_d2", _point_distance2())
         .groupBy(*target_id)
         .agg(*rest, F.min(F.when(in_reach, _ordered())).alias("_key"))
@@ -161,15 +161,13 @@ def nearest_within(
         return _answer(best, targets.columns)
     # read twice below: once as the bound that prunes, once as the answer so far
     best = settle(best)
-    bound = best.select(*target_id, (_key_distance2() * F.lit(_ROUND)).alias("_bound"))
     inner = [*on, *_CUBE, *_FINE]
     narrow = list(dict.fromkeys([*inner, *target_id, "_reach", "_tx", "_ty", "_tz"]))
+    bound = F.coalesce(_key_distance2() * F.lit(_ROUND), reach2)
     open_cubes = (
-        looking.join(crowd.where(F.col("_rank") == 1).select(*inner), [*on, *_CUBE])
-        .withColumn("_b2", _box_distance2(_FINE, fine))
-        .where(F.col("_b2") <= reach2)
-        .join(bound, target_id)
-        .where(F.coalesce(F.col("_b2") <= F.col("_bound") * F.lit(_ROUND), F.lit(True)))
+        look(best)
+        .join(crowd.where(F.col("_rank") == 1).select(*inner), [*on, *_CUBE])
+        .where(_box_distance2(_FINE, fine) <= bound * F.lit(_ROUND))
         .select(*narrow)
     )
     refined = (
