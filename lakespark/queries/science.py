@@ -12,9 +12,12 @@ from lakespark.queries.base import DENSE, INDEXED, NATIVE, dense, i, many, nativ
 from lakespark.schema import NATIVE_BANDS, NATIVE_INDICES, NATIVE_MASKS
 
 CORE = ["rhos_620", "rhos_665", "rhos_681", "rhos_709"]
-R665, R681, R709, R754, R865, R884 = (
-    F.col(f"rhos_{w}") for w in (665, 681, 709, 754, 865, 884)
-)
+
+
+def band(w: int):
+    return F.col(f"rhos_{w}")
+
+
 WAVES = {885: 884.0}
 
 
@@ -93,8 +96,8 @@ def c04(spark, sf):
 def c05(spark, sf):
     return fx.pixels(spark, sf).select(
         "obs_id",
-        indices.ndci(R665, R709).alias("NDCI"),
-        indices.ndci_valid(R665, R709).alias("ndci_valid"),
+        indices.ndci(band(665), band(709)).alias("NDCI"),
+        indices.ndci_valid(band(665), band(709)).alias("ndci_valid"),
     )
 
 
@@ -108,10 +111,10 @@ def c05(spark, sf):
 )
 def c06(spark, sf):
     def height(center, w):
-        return indices.line_height(center, R665, R884, w, 665, 884).alias(f"h{w}")
+        return indices.line_height(center, band(665), band(884), w, 665, 884).alias(f"h{w}")
 
     return fx.pixels(spark, sf).select(
-        "obs_id", height(R681, 681), height(R709, 709), height(R754, 754)
+        "obs_id", height(band(681), 681), height(band(709), 709), height(band(754), 754)
     )
 
 
@@ -120,7 +123,7 @@ def c06(spark, sf):
     sql(f"""select {i("obs_id")}, {r("fai0", "FAI")}, {i("fai0 is not null", "fai_valid")} from indexed""", indexed=INDEXED),
 )
 def c07(spark, sf):
-    value = indices.fai(R665, R754, R865)
+    value = indices.fai(band(665), band(754), band(865))
     return fx.pixels(spark, sf).select(
         "obs_id", value.alias("FAI"), value.isNotNull().alias("fai_valid")
     )
@@ -131,7 +134,7 @@ def c07(spark, sf):
     sql(f"""select {i("obs_id")}, {r("mph0", "MPH")}, {r("peak0", "MPH_peak_nm")} from indexed""", indexed=INDEXED),
 )
 def c08(spark, sf):
-    top, peak = indices.mph(R665, R681, R709, R754, R884, WAVES)
+    top, peak = indices.mph(band(665), band(681), band(709), band(754), band(884), WAVES)
     return fx.pixels(spark, sf).select("obs_id", top.alias("MPH"), peak.alias("MPH_peak_nm"))
 
 
