@@ -25,24 +25,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+_own_folder: str | None = None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: ``spark.checkpoint.dir`` as the session has it.
+
+    Where the setting is absent, a local session gets one temporary folder of its own;
+    a cluster must name a folder that all executors share.
+    """
+    global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="spark-")
+    return _own_folder
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back.
+    """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage before a step that reads its input several times. The table
     survives the loss of executors, and its size is known to the optimizer.
     """
-    path = f"{_checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
