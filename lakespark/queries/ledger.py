@@ -16,7 +16,7 @@ from lakespark.queries.aggregates import A01_COLUMNS
 from lakespark.queries.base import INDEXED, NATIVE, i, many, native, native_sql, query, r, sql
 from lakespark.queries.mapping import _JOINED, _MAPV, _NEAR, RES
 from lakespark.queries.spatial import LAKES, PAIRS, REGION_EDGES, _SE, inside_sql, meets_sql
-from lakespark.session import _checkpoint_folder
+from lakespark.session import shared_folder
 from lakespark.sources import lakes as lake_source
 from lakespark.sources import native as store
 from lakespark.sources import points, raster, regions, scenes
@@ -25,7 +25,7 @@ _START = "concat(strftime(start_ts, '%Y-%m-%d'), 'T00:00:00.000Z')"
 
 
 def _fresh(spark) -> str:
-    return f"{_checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # --- sources ----------------------------------------------------------------------------------
