@@ -94,6 +94,11 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
 
 
+#: Everything but ASCII letters and digits and the bytes of other letters.
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values."""
     x = x.astype(np.uint64, copy=True)
@@ -118,11 +123,12 @@ class Words:
     in ``first[row]:first[row + 1]``.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, separators: np.ndarray = _SEPARATORS):
+        """``separators``: for each byte whether it parts words; the blank must be one."""
         raw, self.offsets = flat(column, " ")
         self.data = _FOLD[raw]
         inside = np.zeros(len(raw) + 1, dtype=np.int8)
-        inside[1:] = ~_SEPARATORS[raw]
+        inside[1:] = ~separators[raw]
         edges = np.diff(inside)
         self.starts = np.flatnonzero(edges == 1)
         self.ends = np.flatnonzero(edges == -1)  # each text ends with a separator

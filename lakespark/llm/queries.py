@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import language
+from lakespark.llm import language, neardup, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,23 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = language.learn(docs, crc_of_id() % 3 != 1)
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every whole text; labels with crc32 remainder 0 of 5 are never learned from."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.learn(docs, table(spark, sf, "labels"), crc_of_id() % 5 != 0)
+    found = toxicity.score(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out(5, 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op6_minmax_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate component of every document, on 4-word shingles at a similarity of 0.8."""
+    return neardup.near_duplicates(table(spark, sf, "documents"), k=4, percent=80)
