@@ -110,10 +110,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_KEYS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_POWERS = np.ones(64, dtype=np.uint64)
-for _k in range(1, 64):
-    _POWERS[_k] = _POWERS[_k - 1] * np.uint64(0xD6E8FEB86659FD93)
-_STEP64 = _POWERS[63] * np.uint64(0xD6E8FEB86659FD93)
+_POWERS = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(64)], dtype=np.uint64)
+_STEP64 = np.uint64(pow(0xD6E8FEB86659FD93, 64, 1 << 64))
 
 
 class Words:

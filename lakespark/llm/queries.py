@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import language, neardup, toxicity
+from lakespark.llm import chat, language, neardup, secrets, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,21 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op6_minmax_neardup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate component of every document, on 4-word shingles at a similarity of 0.8."""
     return neardup.near_duplicates(table(spark, sf, "documents"), k=4, percent=80)
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted form."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every whole text: counts and digest of the patterns, and all spans."""
+    found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    count = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    return found.select("doc_id", *count, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("secrets")).alias("spans"))
