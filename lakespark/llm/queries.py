@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, language, neardup, secrets, toxicity
+from lakespark.llm import chat, language, mixing, neardup, secrets, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,10 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     base = F.filter("secrets", lambda s: s["kind"] < 3)
     count = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *count, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("secrets")).alias("spans"))
+
+
+@query
+def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that a mix of the sources by weight takes of every document."""
+    mixed = mixing.mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), mixing.taken(mixed).alias("taken"))
