@@ -49,7 +49,7 @@ def slices(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[pa.Recor
     """Consecutive rows of a batch, cut where the bytes of its strings pass ``limit``."""
     sizes = np.full(batch.num_rows, 16, dtype=np.int64)
     for column in batch.columns:
-        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) or pa.types.is_binary(column.type):
             sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
     ends = np.cumsum(sizes)

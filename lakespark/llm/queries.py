@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, language, mixing, neardup, secrets, toxicity
+from lakespark.llm import chat, language, media, mixing, neardup, secrets, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     """Words that a mix of the sources by weight takes of every document."""
     mixed = mixing.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), mixing.taken(mixed).alias("taken"))
+
+
+@query
+def op10_webp_media(spark: SparkSession, sf: str) -> DataFrame:
+    """Every whole text as a lossless WebP file, read back."""
+    return media.read(media.store(table(spark, sf, "documents")))
