@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, language, media, mixing, neardup, secrets, toxicity
+from lakespark.llm import chat, decontam, language, media, mixing, neardup, repeats, secrets, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,21 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 def op10_webp_media(spark: SparkSession, sf: str) -> DataFrame:
     """Every whole text as a lossless WebP file, read back."""
     return media.read(media.store(table(spark, sf, "documents")))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark items that documents hold, copied or edited, with the place of the best passage."""
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What every document loses to units that stood earlier: counts, and spans in code points."""
+    docs = table(spark, sf, "documents").select("doc_id")
+    lost = repeats.repeated_spans(table(spark, sf, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    none = F.lit(0).cast("long")
+    return docs.join(lost, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("removed_words", none).alias("removed_words"), F.coalesce(spans, F.lit("")).alias("spans")
+    )
