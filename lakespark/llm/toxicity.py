@@ -19,7 +19,7 @@ UNITS, LETTERS = 6, 6
 #: Words of a window, and words from one window to the next.
 WINDOW, STRIDE = 32, 16
 #: Bounds of the training sample: documents of each label, and characters of a document.
-SAMPLE, SAMPLE_CHARS = 2000, 6000
+SAMPLE, SAMPLE_CHARS = 1500, 5000
 #: Documents of the sample that must hold a word of the vocabulary.
 SEEN = 10
 #: Documents that are added to both labels before the log-odds of a word.
@@ -90,8 +90,11 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
     if len(set(toxic)) < 2:
         return None
     rng = np.random.default_rng(seed)
-    words = Words(pa.array(texts, pa.string()), PUNCTUATION)
-    pairs = np.unique(np.stack((words.hashes, words.row.astype(np.uint64)), axis=1), axis=0)
+    parts = [Words(pa.array(texts[i : i + 100], pa.string()), PUNCTUATION) for i in range(0, len(texts), 100)]
+    hashes = np.concatenate([w.hashes for w in parts])
+    first = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(w.first) for w in parts]))))
+    in_text = np.repeat(np.arange(len(texts)), np.diff(first))
+    pairs = np.unique(np.stack((hashes, in_text.astype(np.uint64)), axis=1), axis=0)
     vocabulary, at, seen = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
     bad = np.bincount(at, y[pairs[:, 1].astype(int)], len(vocabulary))
     odds = np.log((bad + PRIOR) / (y.sum() + 2 * PRIOR)) - np.log((seen - bad + PRIOR) / ((1 - y).sum() + 2 * PRIOR))
@@ -107,14 +110,14 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
         params |= {f"U{side}": rn.scaled(rng, n, 3 * n), f"c{side}": np.zeros(3 * n, np.float32)}
     model |= params | {"strength": strength}
 
-    number = np.append(_numbers(model, words.hashes), 0)
-    triple, inner, lengths = _letters(words)
-    spread = np.minimum(inner[:, None] + np.arange(LONGEST), len(triple) - 1)
-    letters = np.where(np.arange(LONGEST) < lengths[:, None], triple[spread], TRIPLES)
-    letters = np.concatenate((letters, np.full((1, LONGEST), TRIPLES)))
-    row, start = windows(words.first)
+    number = np.append(_numbers(model, hashes), 0)
+    spelled = [_letters(w) for w in parts]
+    triple = np.concatenate([t.astype(np.int16) for t, _, _ in spelled])
+    lengths = np.append(np.concatenate([n for _, _, n in spelled]), 0)
+    inner = np.cumsum(lengths) - lengths
+    row, start = windows(first)
     grid = start[:, None] + np.arange(WINDOW)
-    grid[grid >= words.first[row + 1][:, None]] = len(words.hashes)
+    grid[grid >= first[row + 1][:, None]] = len(hashes)
     value = strength[number[grid]].max(axis=1)
     of = np.searchsorted(row, np.arange(len(texts) + 1))
     filled = np.flatnonzero(np.diff(of))
@@ -125,7 +128,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
     hard = kinds[0]
     for step in range(STEPS):
         if step and step % 55 == 0:
-            value = score_windows(model, words, row, start)
+            value = np.concatenate([score_windows(model, w, *windows(w.first)) for w in parts])
             worst = np.maximum.reduceat(value, of[kinds[0]])
             hard = kinds[0][np.argsort(-worst, kind="stable")[: max(1, len(worst) // 10)]]
         chosen, goal = [], []
@@ -135,13 +138,18 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
         for d in (*rng.choice(kinds[0], DOCS), *rng.choice(hard, DOCS // 2)):
             chosen += [of[d] + int(value[of[d] : of[d + 1]].argmax()), int(rng.integers(of[d], of[d + 1]))]
             goal += [0.0, 0.0]
-        g = grid[chosen].T
-        ids, tri = number[g], letters[g]
+        # a word of a clean text stays clean however often it is said
+        alone = [int(rng.integers(first[d], first[d + 1])) for d in rng.choice(kinds[0], DOCS // 4)]
+        goal += [0.0] * len(alone)
+        g = np.concatenate((grid[chosen], np.repeat(np.array(alone)[:, None], WINDOW, axis=1))).T
+        place = np.arange(LONGEST)
+        tri = np.where(place < lengths[g][..., None], triple[np.minimum(inner[g][..., None] + place, len(triple) - 1)], TRIPLES)
+        ids = number[g]
         weight = (tri < TRIPLES).astype(np.float32)
         weight /= np.maximum(weight.sum(axis=2, keepdims=True), 1)
         mean = np.einsum("tbld,tbl->tbd", params["triples"][tri], weight)
         gates = params["words"][ids] + strength[ids][..., None] * params["odds"][0] + mean @ params["letters"]
-        used = g < len(words.hashes)
+        used = g < len(hashes)
         gates *= used[..., None]
         out, kept = {}, {}
         for side in "fb":
