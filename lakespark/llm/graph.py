@@ -1,4 +1,4 @@
-"""Connected components of an edge table, as joins that run until no label changes."""
+"""Connected components of an edge table, as joins on a graph that shrinks."""
 
 from __future__ import annotations
 
@@ -7,31 +7,35 @@ from pyspark.sql import functions as F
 
 from lakespark.session import settle
 
+JUMPS = 2
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); a component is named by its smallest node.
 
-    Each round takes the smallest label among the neighbours and then the label of that
-    label, so paths shorten by more than half. A table is written after each round.
-    An empty edge table gives no rows; edges of a node to itself are allowed.
+    Each round labels a node with its smallest neighbour, follows the labels a few steps, and replaces
+    nodes by labels, so that the edges between labels are all that the next round reads. The
+    smallest node of a component keeps its name throughout. Tables are written between rounds. An empty edge
+    table gives no rows; an edge of a node to itself makes it a component.
     """
-    both = settle(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = settle(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("label"))
-    )
+    rest = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    total = None
     while True:
-        offered = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("offer"))
-        )
-        near = settle(
-            labels.join(offered, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "offer").alias("label"))
-        )
-        next_hop = near.select(F.col("node").alias("label"), F.col("label").alias("hop"))
-        labels = settle(
-            near.join(next_hop, "label", "left").select("node", "was", F.least("label", F.coalesce("hop", "label")).alias("label"))
-        )
-        if labels.where(F.col("was") != F.col("label")).isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
+        both = rest.union(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label"))
+        for _ in range(JUMPS):
+            label = settle(label)
+            hop = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            label = label.join(hop, "label").select("node", F.col("next").alias("label"))
+        label = settle(label)
+        if total is None:
+            total = label
+        else:
+            hop = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            total = settle(total.join(hop, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+        left = label.select(F.col("node").alias("a"), F.col("label").alias("x"))
+        right = label.select(F.col("node").alias("b"), F.col("label").alias("y"))
+        joined = rest.join(left, "a").join(right, "b").where("x <> y")
+        rest = settle(joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if rest.isEmpty():
+            return total.select("node", F.col("label").alias("component"))

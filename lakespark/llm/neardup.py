@@ -212,9 +212,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         banded.join(known, "node", "left")
         .select("node", "n", "key", F.coalesce("component", "node").alias("of"))
     )
-    mixed = settle(_shared_keys(open_rows, "of"))
-    groups = components(mixed.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    members = settle(mixed.select("node", "n").distinct().join(groups, "node"))
+    mixed = settle(_shared_keys(open_rows, "of", "of", "least"))
+    # what is linked already counts as one node of the graph of shared keys
+    groups = components(mixed.where("of <> least").select(F.col("of").alias("a"), F.col("least").alias("b")).distinct())
+    members = mixed.select("node", "n", "of").distinct().join(groups.withColumnRenamed("node", "of"), "of")
+    members = settle(members.select("node", "n", "component"))
     parts = _parts(members, "component")
     blocks = members.join(parts, "component").withColumn("block", _part_of(F.col("node"), F.col("parts")))
     # block i meets block j in group (i, j), i < j; a lone block meets itself
@@ -233,7 +235,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def _shared_keys(rows: DataFrame, by: str) -> DataFrame:
-    """Rows (node, n, key, ...) of keys that hold several values of ``by``, with the smallest node as hub."""
+def _shared_keys(rows: DataFrame, by: str, *more: str) -> DataFrame:
+    """Rows (node, n, hub, ...) of keys that hold several values of ``by``, with the key's smallest node as hub."""
     shared = rows.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most"), F.min("node").alias("hub")).where("least < most")
-    return rows.join(shared, "key").select("node", "n", "key", "hub")
+    return rows.join(shared, "key").select("node", "n", "key", "hub", *more)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, decontam, language, media, mixing, neardup, repeats, secrets, toxicity
+from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,11 @@ def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return docs.join(lost, "doc_id", "left").select(
         "doc_id", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("removed_words", none).alias("removed_words"), F.coalesce(spans, F.lit("")).alias("spans")
     )
+
+
+@query
+def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Licenses of every whole text by sentence rules, with their places."""
+    found = licenses.scan(table(spark, sf, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["license"], s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_sentences", "licenses", spans.alias("spans"))

@@ -203,7 +203,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataF
     An assignment keeps its name and loses its value. Null texts stay null. ``n_chars``, where
     ``docs`` has it, follows the new text.
     """
-    found = find_secrets(docs, rate)
+    # columns of the documents travel in one, so that none can clash with the result's
+    found = find_secrets(docs.select("text", F.struct(*docs.columns).alias("_row")), rate)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = batch.schema.get_field_index("text")
@@ -219,8 +220,14 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataF
             out.append(text)
         return batch.set_column(at, "text", pa.array(out, pa.string()))
 
-    done = map_arrow(found, run, found.schema).drop("secrets")
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
+    done = map_arrow(found, run, found.schema)
+
+    def column(name: str) -> F.Column:
+        old = F.col("_row").getField(name)
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return done.select(*(column(c) for c in docs.columns))

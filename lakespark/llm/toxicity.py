@@ -201,14 +201,14 @@ def score_windows(model: dict, words: Words, row: np.ndarray, start: np.ndarray)
     for a in range(0, len(row), 1024):
         r, s = row[a : a + 1024], start[a : a + 1024]
         left = words.first[r + 1] - s
-        steps = int(left.clip(max=WINDOW).max())
-        at = s + np.arange(steps)[:, None]
-        used = np.arange(steps)[:, None] < left
+        # all windows have equally many steps, so a text's score does not depend on its neighbours
+        at = s + np.arange(WINDOW)[:, None]
+        used = np.arange(WINDOW)[:, None] < left
         at[~used] = len(number)
         room = np.empty((len(r), 3 * UNITS), np.float32)
         h = np.concatenate(
             [
-                rn.states(lambda t: np.take(table, at[t], axis=0, out=room, mode="clip").T, steps, len(r), model[f"U{side}"], model[f"c{side}"], side == "b")
+                rn.states(lambda t: np.take(table, at[t], axis=0, out=room, mode="clip").T, WINDOW, len(r), model[f"U{side}"], model[f"c{side}"], side == "b")
                 for side in "fb"
             ],
             axis=1,
