@@ -1,9 +1,9 @@
 """Conversations as training text, assembled column by column into one Arrow buffer.
 
 A turn reads ``### Role: text</turn>`` and a line break, where the role's first letter is
-upper-case. Inside roles and texts a backslash stands before every ``\\``, ``#``, ``<`` and (in roles)
-``:`` and first letters that were upper-case already, so no text can look like a mark and the
-original comes back by dropping one backslash from each pair.
+upper-case; one that was upper-case already has a backslash before it. Inside roles and texts a
+backslash follows every ``\\``, ``#``, ``<`` and (in roles) ``:``. So no mark can stand inside a text, not even
+as part of an escaped one, and the original comes back by dropping those backslashes.
 """
 
 from __future__ import annotations
@@ -33,18 +33,20 @@ _CONTINUES[128:192] = 1
 
 
 def _escaped(column: pa.Array, table: np.ndarray, is_role: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and row offsets with a backslash before every byte that ``table`` marks."""
+    """Bytes and row offsets with a backslash after every byte that ``table`` marks."""
     data, offsets = flat(column)
     extra = table[data]
-    first = offsets[:-1][np.diff(offsets) > 0]
+    lead = np.zeros(len(data), dtype=np.int64)
     if is_role:
         data = data.copy()
-        extra[first] |= _UPPER[data[first]]
+        first = offsets[:-1][np.diff(offsets) > 0]
+        lead[first] = _UPPER[data[first]]
+        extra = extra + lead
         lower = first[(data[first] >= 97) & (data[first] <= 122)]
         data[lower] -= 32
     total = np.concatenate(([0], np.cumsum(extra)))
     out = np.full(len(data) + int(total[-1]), ord("\\"), dtype=np.uint8)
-    out[np.arange(len(data)) + total[1:]] = data
+    out[np.arange(len(data)) + total[:-1] + lead] = data
     return out, offsets + total[offsets]
 
 
@@ -128,12 +130,20 @@ def _starts(ids: pa.Array) -> np.ndarray:
     return np.concatenate(([0], 1 + np.flatnonzero(~same)))
 
 
-_TURN = re.compile(r"### ((?:[^\\#<:]|\\.)*): ((?:[^\\#<]|\\.)*)</turn>\n", re.S)
-_PAIR = re.compile(r"\\(.)", re.S)
+_TURN = re.compile(r"### ((?:\\[A-Z])?(?:[^\\#<:]|[\\#<:]\\)*): ((?:[^\\#<]|[\\#<]\\)*)</turn>\n", re.S)
+_IN_TEXTS, _IN_ROLES = re.compile(r"([\\#<])\\"), re.compile(r"([\\#<:])\\")
 
 
 def unescape(text: str) -> str:
-    return _PAIR.sub(r"\1", text)
+    return _IN_TEXTS.sub(r"\1", text)
+
+
+def _role(written: str) -> str:
+    if "A" <= written[:1] <= "Z":
+        written = written[0].lower() + written[1:]
+    elif written[:1] == "\\" and "A" <= written[1:2] <= "Z":
+        written = written[1:]
+    return _IN_ROLES.sub(r"\1", written)
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -143,10 +153,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
         m = _TURN.match(formatted, at)
         if m is None:
             raise ValueError(f"no turn at {at}")
-        role = m[1]
-        if "A" <= role[:1] <= "Z":
-            role = role[0].lower() + role[1:]
-        turns.append((unescape(role), unescape(m[2])))
+        turns.append((_role(m[1]), unescape(m[2])))
         at = m.end()
     return turns
 
