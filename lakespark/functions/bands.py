@@ -22,24 +22,32 @@ DELIVERED_AS = {885: 884}
 
 
 def wavelength(name: str) -> float:
-    match = re.match(BAND_PATTERN, name)
-    if match is None:
-        raise ValueError(f"no wavelength in band name {name!r}")
-    return float(match.group(1))
+    """The number that ends a band name; a KeyError for other names."""
+    (nm,) = wavelengths([name], name.rpartition("_")[0]) or (None,)
+    if nm is None:
+        raise KeyError(f"{name!r} is no band")
+    return nm
+
+
+def wavelengths(columns: Iterable[str], prefix: str) -> dict[float, str]:
+    """Columns of a band family by wavelength (nm); of equal ones the first name counts."""
+    found: dict[float, str] = {}
+    for name in sorted(columns, reverse=True):
+        family, _, number = name.rpartition("_")
+        if family == prefix and re.match(BAND_PATTERN, name):
+            found[float(number)] = name
+    return found
 
 
 def nearest_band(
     columns: Iterable[str], prefix: str, target: float, tolerance: float = 12.0
 ) -> str:
     """Name of the ``prefix`` band nearest to ``target`` nm; ties go to the first name."""
-    ranked = sorted(
-        (abs(wavelength(c) - target), c)
-        for c in columns
-        if c.startswith(prefix + "_") and re.match(BAND_PATTERN, c)
-    )
-    if not ranked or ranked[0][0] > tolerance:
+    known = wavelengths(columns, prefix)
+    within = {nm: name for nm, name in known.items() if abs(nm - target) <= tolerance}
+    if not within:
         raise KeyError(f"no {prefix} band within {tolerance} nm of {target}")
-    return ranked[0][1]
+    return within[min(within, key=lambda nm: (abs(nm - target), within[nm]))]
 
 
 def nearest_band_rows(
@@ -90,21 +98,27 @@ def export_names(df: DataFrame) -> DataFrame:
     )
 
 
-def mode_bands(mode: str, full: bool = False) -> tuple[list[str], set[str]]:
-    """Ordered distinct band columns of a product mode, and the ones it cannot do without."""
-    mode = {"rayleigh_ci": "full_swath_rhos"}.get(mode.lower(), mode.lower())
-    if mode not in ("full_swath_rhos", "standard_dual"):
-        raise ValueError(f"unknown product mode {mode!r}")
+# Product mode -> (family, wavelengths of the short list, of the full list); the short list is required.
+_SURFACE = ("rhos", ANALYSIS_WAVELENGTHS, FULL_WAVELENGTHS)
+_MODES = {
+    "full_swath_rhos": (_SURFACE,),
+    "rayleigh_ci": (_SURFACE,),
+    "standard_dual": (_SURFACE, ("Rrs", (665, 709), AQUATIC_WAVELENGTHS)),
+}
 
-    def spell(waves):
-        return [f"rhos_{DELIVERED_AS.get(w, w)}" for w in waves]
 
-    wanted = spell(FULL_WAVELENGTHS if full else ANALYSIS_WAVELENGTHS)
-    required = set(spell(ANALYSIS_WAVELENGTHS))
-    if mode == "standard_dual":
-        wanted += [f"Rrs_{w}" for w in (AQUATIC_WAVELENGTHS if full else (665, 709))]
-        required |= {"Rrs_665", "Rrs_709"}
-    return list(dict.fromkeys(wanted)), required
+def mode_bands(mode: str, full: bool = False) -> tuple[list[str], set[str]]:
+    """Ordered band columns of a product mode, and the ones it cannot do without."""
+    families = _MODES.get(mode.lower())
+    if families is None:
+        raise ValueError(f"unknown product mode {mode!r}")
+    wanted: list[str] = []
+    required: set[str] = set()
+    for family, short, long in families:
+        names = {w: f"{family}_{DELIVERED_AS.get(w, w) if family == 'rhos' else w}" for w in (*short, *long)}
+        wanted += [names[w] for w in (long if full else short)]
+        required |= {names[w] for w in short}
+    return wanted, required
 
 
 def select_bands(

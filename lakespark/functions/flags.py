@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -36,11 +37,12 @@ PROFILES = {
 
 
 def decode_flag_map(meanings: str, masks: Sequence[int]) -> dict[str, int]:
-    """Pair the blank- or comma-separated meanings of a flag variable with its masks."""
-    names = meanings.replace(",", " ").split()
-    if len(names) != len(masks):
-        raise ValueError("flag meanings and flag masks differ in length")
-    return {n.upper(): int(m) for n, m in zip(names, masks)}
+    """Flag name (upper-case) -> bit mask; names are words, parted by blanks or commas."""
+    named = re.findall(r"[^\s,]+", meanings.upper())
+    try:
+        return dict(zip(named, map(int, masks), strict=True))
+    except ValueError as unequal:
+        raise ValueError(f"{len(named)} flag meanings for {len(masks)} masks") from unequal
 
 
 def require_land(flag_map: FlagMap) -> FlagMap:

@@ -1,18 +1,13 @@
-"""Exact grouped quantiles and average ranks that survive hot groups.
+"""Exact grouped quantiles and average ranks in one plan for groups of any size.
 
-The built-in exact ``percentile`` keeps the distinct values of a group in one
-aggregation buffer. That is the best plan while groups are small, and it fails for
-a group that holds a large share of the table. Group sizes are therefore counted
-first (key columns only, combined map-side):
+Equal values of a group are counted first (combined map-side), which spreads a large group over
+tasks. The counts are then summed in a fixed set of buckets (logarithmic, sign-aware,
+monotone), a few hundred rows for each group, and only the buckets that hold a requested rank
+are looked at value by value. A float32 bucket of 1/8 octave holds at most 2**20
+distinct values; float64 columns are narrowed twice more.
 
-* groups of at most ``BUFFERED_ROWS`` rows use ``percentile``;
-* larger groups go through a ladder. Values are counted in a fixed set of
-  buckets (logarithmic, sign-aware, monotone), so a group shrinks to a few hundred
-  rows, and only the buckets that hold a requested rank are looked at value by
-  value. A float32 bucket of 1/8 octave holds at most 2**20 distinct values;
-  float64 columns are narrowed twice more.
-
-Both ways give the same numbers: linear interpolation between order statistics.
+Quantiles interpolate linearly between order statistics. NULL and NaN are no values;
+infinite values are ordered like any other; a NULL key is a group of its own.
 """
 
 from __future__ import annotations
@@ -24,9 +19,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUFFERED_ROWS = 200_000
-HOT_KEYS = 10_000  # more hot groups than this: every group takes the ladder
-
 # Buckets per octave at each narrowing.
 FLOAT_LADDER = (1 << 3,)
 DOUBLE_LADDER = (1 << 3, 1 << 20, 1 << 37)
@@ -36,9 +28,12 @@ Wanted = Mapping[str, tuple[str, float]]
 
 
 def bucket(value: Column, per_octave: int) -> Column:
-    """Monotone integer bucket of a finite double."""
-    magnitude = F.floor(F.log2(F.abs(value)) * F.lit(float(per_octave))).cast("long")
-    shifted = magnitude + F.lit(per_octave * _OCTAVES).cast("long")
+    """Monotone integer bucket of a double; infinite values have buckets of their own."""
+    beyond = F.lit(2 * per_octave * _OCTAVES).cast("long")
+    infinite = F.abs(value) == F.lit(float("inf"))
+    finite = F.when(infinite, F.lit(1.0)).otherwise(F.abs(value))
+    magnitude = F.floor(F.log2(finite) * F.lit(float(per_octave))).cast("long")
+    shifted = F.when(infinite, beyond).otherwise(magnitude + F.lit(per_octave * _OCTAVES).cast("long"))
     return F.when(value > 0, shifted).when(value < 0, -shifted).otherwise(F.lit(0).cast("long"))
 
 
@@ -50,24 +45,6 @@ def _before(count: str, partition: Sequence[str], order: str) -> Column:
     ) - F.col(count)
 
 
-def _buffered(df, keys, aggs, metrics, wanted) -> DataFrame:
-    spread = []
-    for m in metrics:
-        outs = [(o, p) for o, (of, p) in wanted.items() if of == m]
-        probabilities = F.array(*[F.lit(float(p)) for _, p in outs])
-        spread.append(F.percentile(metrics[m].cast("double"), probabilities).alias(f"_q_{m}"))
-    place = {}
-    for m in metrics:
-        for i, o in enumerate([o for o, (of, _) in wanted.items() if of == m]):
-            place[o] = F.get(F.col(f"_q_{m}"), F.lit(i))
-    return (
-        df.groupBy(*keys)
-        .agg(*aggs, *spread)
-        .withColumns(place)
-        .drop(*[f"_q_{m}" for m in metrics])
-    )
-
-
 def _ranks(n: Column, wanted: Wanted) -> Column:
     """(out, of, lo, hi, t) of every requested quantile of a group of ``n`` values."""
     rows = []
@@ -95,73 +72,63 @@ def _asked(wanted: Wanted) -> Column:
     return F.exists(_ranks(F.col("n"), wanted), lambda q: _covers(q["lo"], q["hi"]))
 
 
-def _ladder(df, keys, metrics, wanted, ladder) -> DataFrame:
+def _join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet NULL keys; ``on`` stays as it is in ``left``."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on])
+    return left.join(other, match, how).drop(*[f"_r_{k}" for k in on])
+
+
+def _quantiles(df: DataFrame, keys: list[str], metrics: Mapping[str, Column], wanted: Wanted, ladder: Sequence[int]) -> DataFrame:
+    """One row for each group that has values, with a column for each entry of ``wanted``."""
     entries = F.array(
         *[
-            F.struct(F.lit(m).alias("metric"), (c.cast("double") + F.lit(0.0)).alias("value"))
+            F.struct(F.lit(m).alias("metric"), (c.cast("double") + F.lit(0.0)).alias("v"))
             for m, c in metrics.items()
         ]
     )
-    values = (
-        df.select(*keys, F.explode(entries).alias("_e"))
-        .select(*keys, "_e.metric", "_e.value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
     group = [*keys, "metric"]
-    per_octave = ladder[0]
-    counts = values.groupBy(*group, bucket(F.col("value"), per_octave).alias("b")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    targets = (
-        counts.withColumn("before", _before("c", group, "b"))
-        .withColumn("n", F.sum("c").over(Window.partitionBy(*group)))
-        .where(_asked(wanted))
-        .select(*group, "b", "before", "n")
+    counted = (
+        df.select(*keys, F.explode(entries).alias("_e"))
+        .select(*keys, "_e.metric", "_e.v")
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+        .groupBy(*group, "v")
+        .agg(F.count(F.lit(1)).alias("c"))
     )
-
-    def narrowed(by: Column, name: str) -> DataFrame:
-        """Count the rows of the target buckets by something finer."""
-        parts = [*group, "b", name]
-        return (
-            values.withColumn("b", bucket(F.col("value"), per_octave))
-            .join(targets, [*group, "b"])
-            .groupBy(*group, "b", by.alias(name))
-            .agg(
-                F.count(F.lit(1)).alias("c"),
-                F.min("before").alias("base"),
-                F.min("n").alias("n"),
+    targets = None
+    for per_octave in ladder:
+        rows = counted.withColumn("b", bucket(F.col("v"), per_octave))
+        if targets is None:
+            sums = rows.groupBy(*group, "b").agg(F.sum("c").alias("c"))
+            placed = sums.withColumn("before", _before("c", group, "b")).withColumn(
+                "n", F.sum("c").over(Window.partitionBy(*group))
             )
-            .select(*parts, "c", "n", (F.col("base") + _before("c", parts[:-1], name)).alias("before"))
-            .where(_asked(wanted))
-        )
-
-    for finer in ladder[1:]:
-        found = narrowed(bucket(F.col("value"), finer), "b2")
-        targets = found.select(*group, F.col("b2").alias("b"), "before", "n")
-        per_octave = finer
-
-    exact = narrowed(F.col("value"), "v").select(
-        *group, "v", "before", "c", F.explode(_ranks(F.col("n"), wanted)).alias("q")
+        else:
+            # inside the buckets found so far
+            inside = _join_groups(rows.withColumn("outer", bucket(F.col("v"), coarser)), targets, [*group, "outer"])
+            sums = inside.groupBy(*group, "outer", "b").agg(
+                F.sum("c").alias("c"), F.min("base").alias("base"), F.min("n").alias("n")
+            )
+            placed = sums.withColumn("before", F.col("base") + _before("c", [*group, "outer"], "b"))
+        targets = placed.where(_asked(wanted)).select(*group, F.col("b").alias("outer"), F.col("before").alias("base"), "n")
+        coarser = per_octave
+    inside = _join_groups(counted.withColumn("outer", bucket(F.col("v"), coarser)), targets, [*group, "outer"])
+    exact = (
+        inside.withColumn("before", F.col("base") + _before("c", [*group, "outer"], "v"))
+        .where(_asked(wanted))
+        .select(*group, "v", "before", "c", F.explode(_ranks(F.col("n"), wanted)).alias("q"))
     )
     at = lambda rank: F.max(F.when(_covers(rank, rank), F.col("v")))
-    picked = exact.groupBy(*group, F.col("q.out").alias("out")).agg(
+    picked = exact.groupBy(*keys, F.col("q.out").alias("out")).agg(
         at(F.col("q.lo")).alias("lo"), at(F.col("q.hi")).alias("hi"), F.max("q.t").alias("t")
     )
-    answer = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("t")
+    between = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("t")
+    answer = F.when((F.col("t") == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(between)
     return picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("out") == out, answer)).alias(out) for out in wanted]
     )
 
 
-def _with_ladder(df, keys, aggs, metrics, wanted, ladder) -> DataFrame:
-    base = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
-    return base.join(_ladder(df, keys, metrics, wanted, ladder), list(keys), "left")
-
-
-def _same_group(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [a[k].eqNullSafe(b[f"_hot_{k}"]) for k in keys])
-
-
 def summarize(
     df: DataFrame,
     keys: Sequence[str],
@@ -169,7 +136,6 @@ def summarize(
     wanted: Wanted,
     aggs: Sequence[Column] = (),
     ladder: Sequence[int] = FLOAT_LADDER,
-    buffered_rows: int = BUFFERED_ROWS,
 ) -> DataFrame:
     """One row per group: ordinary aggregates plus exact quantiles.
 
@@ -179,29 +145,12 @@ def summarize(
     """
     keys, aggs = list(keys), list(aggs)
     if not keys:
-        one = summarize(
-            df.withColumn("_all", F.lit(1)), ["_all"], metrics, wanted, aggs, ladder, buffered_rows
-        )
+        one = summarize(df.withColumn("_all", F.lit(1)), ["_all"], metrics, wanted, aggs, ladder)
         # an empty input still has one (empty) group
         always = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
         return always.join(one, "_all", "left").drop("_all")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = (
-        sizes.where(F.col("_n") > buffered_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .limit(HOT_KEYS + 1)
-    )
-    hot = large.collect()  # at most HOT_KEYS + 1 keys
-    if not hot:
-        return _buffered(df, keys, aggs, metrics, wanted)
-    if len(hot) > HOT_KEYS:
-        return _with_ladder(df, keys, aggs, metrics, wanted, ladder)
-    # the list was just counted, so it is safe to broadcast
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, large.schema))
-    match = _same_group(df, listed, keys)
-    small = _buffered(df.join(listed, match, "left_anti"), keys, aggs, metrics, wanted)
-    big = _with_ladder(df.join(listed, match, "left_semi"), keys, aggs, metrics, wanted, ladder)
-    return small.unionByName(big)
+    base = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+    return _join_groups(base, _quantiles(df, keys, metrics, wanted, ladder), keys, "left")
 
 
 def average_ranks(

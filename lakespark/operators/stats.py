@@ -186,6 +186,7 @@ def with_lake_metadata(stats: DataFrame, lakes: DataFrame) -> DataFrame:
 
 # --- mask diagnostics of dense swaths (input: qa.build_dense_indices) ----------------
 
+# Names of the stages in stored tables.
 STAGES = (
     "total_pixels",
     "geolocated_pixels",
@@ -308,22 +309,16 @@ def gate_rejections(
     return out.withColumn("diagnosis", message)
 
 
+REPORTED = (
+    "geolocated_pixels", "water_pixels", "valid_water_pixels", "ci_finite_before_qa", "ci_finite_after_qa",
+    "ci_candidates_after_qa", "ci_detections_after_qa", "ndci_valid_before_qa", "ndci_valid_after_qa",
+)
+
+
 def funnel_stage_report(funnel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Long stage table: stage, pixels, percent of water."""
-    kept = F.col("valid_water_pixels")
-    removed = F.col("water_pixels") - F.col("valid_water_pixels")
-    stages = [
-        ("Geolocated L2 pixels", F.col("geolocated_pixels")),
-        ("Water pixels (LAND not set)", F.col("water_pixels")),
-        ("Water removed by selected QA/buffer", removed),
-        ("Water retained after QA/buffer", kept),
-        ("Finite 4-band CI inputs before QA", F.col("ci_finite_before_qa")),
-        ("Finite 4-band CI inputs after QA", F.col("ci_finite_after_qa")),
-        ("CI candidates: SS(681) < 0", F.col("ci_candidates_after_qa")),
-        ("CIcyano detections", F.col("ci_detections_after_qa")),
-        ("Valid NDCI inputs before QA", F.col("ndci_valid_before_qa")),
-        ("Valid NDCI inputs after QA", F.col("ndci_valid_after_qa")),
-    ]
+    stages = [(name, F.col(name)) for name in REPORTED]
+    stages.insert(2, ("water_pixels_removed", F.col("water_pixels") - F.col("valid_water_pixels")))
     rows = F.array(
         *[
             F.struct(

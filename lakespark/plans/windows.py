@@ -72,7 +72,7 @@ def components(boxes: np.ndarray) -> np.ndarray:
     return np.array([root(i) for i in range(len(boxes))])
 
 
-_FIELDS = "scene_id {kind}, w double, s double, e double, n double"
+_FIELDS = "scene_id {kind}, part double, x double, y double, extent double"
 
 
 def plan_windows(
@@ -112,31 +112,35 @@ def plan_windows(
     )
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Places where the footprint meets the boxes of each component, and the extent of the footprint."""
         box = pdf[["w", "s", "e", "n"]].to_numpy(float)
         rings = [np.array([list(v) for v in ring], float) for ring in pdf["rings"].iloc[0]]
-        xs, ys = np.concatenate(rings)[:, 0], np.concatenate(rings)[:, 1]
-        parts: dict[int, list[np.ndarray]] = {}
-        for label, one in zip(components(box), box):
-            kept = [c for c in (_clip(r, tuple(one)) for r in rings) if len(c)]
-            if kept:
-                parts.setdefault(int(label), []).extend(kept)
-        windows = []
-        for pieces in parts.values():
-            v = np.concatenate(pieces)
-            w, s, e, n = v[:, 0].min(), v[:, 1].min(), v[:, 0].max(), v[:, 1].max()
-            if w < e and s < n:
-                windows.append((w, s, e, n))
-        area = max((xs.max() - xs.min()) * (ys.max() - ys.min()), 1e-9)
-        covered = sum((e - w) * (n - s) for w, s, e, n in windows)
-        if len(windows) > max_windows or covered / area >= full_fraction:
-            windows = []
-        windows.sort(key=lambda q: (q[1], q[0]))
-        out = pd.DataFrame(windows, columns=list("wsen"))
+        extent = np.ptp(np.concatenate(rings), axis=0)
+        cut = [
+            np.column_stack((np.full(len(c), label), c))
+            for label, one in zip(components(box), box)
+            for r in rings
+            if len(c := _clip(r, tuple(one)))
+        ]
+        out = pd.DataFrame(np.concatenate(cut) if cut else np.zeros((0, 3)), columns=["part", "x", "y"])
         out.insert(0, "scene_id", pdf["scene_id"].iloc[0])
-        return out
+        return out.assign(extent=extent[0] * extent[1])
 
     kind = dict(scenes.dtypes)["scene_id"]
-    planned = boxes.groupBy("scene_id").applyInPandas(merge, _FIELDS.format(kind=kind))
+    places = boxes.groupBy("scene_id").applyInPandas(merge, _FIELDS.format(kind=kind))
+    bounds = (
+        places.groupBy("scene_id", "part")
+        .agg(
+            F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n"),
+            F.first("extent").alias("extent"),
+        )
+        .where("w < e and s < n")
+    )
+    # many windows, or windows over much of the scene, are no better than the whole scene
+    share = F.sum((F.col("e") - F.col("w")) * (F.col("n") - F.col("s"))) / F.greatest(F.max("extent"), F.lit(1e-9))
+    worth = bounds.groupBy("scene_id").agg(F.count("*").alias("windows"), share.alias("share"))
+    worth = worth.where((F.col("windows") <= max_windows) & (F.col("share") < full_fraction)).select("scene_id")
+    planned = bounds.join(worth, "scene_id").select("scene_id", *"wsen")
     whole = full.join(planned.select("scene_id").distinct(), "scene_id", "left_anti")
     return named(planned.unionByName(whole))
 

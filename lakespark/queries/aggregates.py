@@ -204,17 +204,17 @@ def a07(spark, sf):
     return stats.gate_rejections(dense(spark, sf), ["scene_id"])
 
 
-_LABELS = (
-    ("Geolocated L2 pixels", "geolocated"),
-    ("Water pixels (LAND not set)", "water"),
-    ("Water removed by selected QA/buffer", "water and not valid_water_mask"),
-    ("Water retained after QA/buffer", "valid_water_mask"),
-    ("Finite 4-band CI inputs before QA", "water and fin"),
-    ("Finite 4-band CI inputs after QA", "valid_water_mask and fin"),
-    ("CI candidates: SS(681) < 0", "valid_water_mask and cand0"),
-    ("CIcyano detections", "valid_water_mask and det0"),
-    ("Valid NDCI inputs before QA", "water and nd_ok"),
-    ("Valid NDCI inputs after QA", "valid_water_mask and nd_ok"),
+_REPORTED = (
+    ("geolocated_pixels", "geolocated"),
+    ("water_pixels", "water"),
+    ("water_pixels_removed", "water and not valid_water_mask"),
+    ("valid_water_pixels", "valid_water_mask"),
+    ("ci_finite_before_qa", "water and fin"),
+    ("ci_finite_after_qa", "valid_water_mask and fin"),
+    ("ci_candidates_after_qa", "valid_water_mask and cand0"),
+    ("ci_detections_after_qa", "valid_water_mask and det0"),
+    ("ndci_valid_before_qa", "water and nd_ok"),
+    ("ndci_valid_after_qa", "valid_water_mask and nd_ok"),
 )
 
 
@@ -225,7 +225,7 @@ _LABELS = (
             f"""select {i("scene_id")}, {i(str(k), "stage_order")}, '{label}' as stage, {n_of(c, "pixels")},
               {r("null" if k == 0 else f"100e0*count(*) filter ({c})/nullif(count(*) filter (water), 0)", "percent_of_water")}
               from dense group by scene_id"""
-            for k, (label, c) in enumerate(_LABELS)
+            for k, (label, c) in enumerate(_REPORTED)
         ),
         **DCTX,
     ),

@@ -35,12 +35,17 @@ def invalid_rings(polygons: Column) -> Column:
     return F.filter(F.flatten(polygons), lambda ring: F.size(F.array_distinct(ring)) < 3)
 
 
-_OPTIONAL = {
-    "lake_name": "Lake_name",
-    "country": "Country",
-    "lake_type": "Lake_type",
-    "continent": "Continent",
+#: Canonical column -> how it is read; the other columns of a lake table are not used.
+_READ = {
+    "Hylak_id": lambda c, _: c.cast("long"),
+    "Lake_area": lambda c, _: c.try_cast("double"),
+    "geometry": lambda c, kind: geojson_polygons(c) if kind == "string" else c,
+    "Lake_name": lambda c, _: c,
+    "Country": lambda c, _: c,
+    "Lake_type": lambda c, _: c,
+    "Continent": lambda c, _: c,
 }
+_NEEDED = ("Hylak_id", "Lake_area", "geometry")
 
 
 def normalize_lakes(df: DataFrame) -> DataFrame:
@@ -49,22 +54,20 @@ def normalize_lakes(df: DataFrame) -> DataFrame:
     The id must be a number (an error otherwise); an unreadable area becomes NULL.
     ``geometry`` holds GeoJSON text, or nested rings already.
     """
-    found = {c.lower(): c for c in df.columns}
-    missing = sorted({"hylak_id", "lake_area", "geometry"} - set(found))
-    if missing:
-        raise ValueError(f"lake table lacks {missing}")
-    shape = F.col(found["geometry"])
-    if dict(df.dtypes)[found["geometry"]] == "string":
-        shape = geojson_polygons(shape)
-    ident = F.col(found["hylak_id"]).cast("long")
-    cols = [
-        ident.alias("Hylak_id"),
-        ident.alias("lake_order"),
-        F.expr(f"try_cast(`{found['lake_area']}` as double)").alias("Lake_area"),
-        *[F.col(found[k]).alias(v) for k, v in _OPTIONAL.items() if k in found],
-        shape.alias("polygons"),
-    ]
-    out = df.select(*cols)
+    canonical = {name.lower(): name for name in _READ}
+    read = {}
+    for field in df.schema.fields:
+        name = canonical.get(field.name.lower())
+        if name:
+            read[name] = _READ[name](F.col(f"`{field.name}`"), field.dataType.simpleString())
+    absent = [name for name in _NEEDED if name not in read]
+    if absent:
+        raise ValueError(f"lake table lacks {absent}")
+    shape = read.pop("geometry")
+    columns = {"Hylak_id": read.pop("Hylak_id")}
+    columns["lake_order"] = columns["Hylak_id"]
+    columns |= {name: read[name] for name in _READ if name in read}
+    out = df.select(*(c.alias(name) for name, c in columns.items()), shape.alias("polygons"))
     return out.where(F.col("polygons").isNotNull() & (F.size(F.flatten("polygons")) > 0))
 
 

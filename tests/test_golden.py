@@ -169,21 +169,34 @@ def test_holes_and_erosion(spark):
     assert eroded == {0: 1, 1: 0, 2: 0, 3: 0}
 
 
-def test_quantile_plans_agree(spark):
-    df = spark.range(5000).select(
-        (F.col("id") % 3).alias("g"),
-        F.when(F.col("id") % 11 != 0, (F.sin(F.col("id") * 1.7) * 3).cast("float")).alias("v"),
-        (F.cos(F.col("id") * 0.3) / (1 + F.col("id"))).alias("w"),
-    )
-    m = {"v": F.col("v"), "w": F.col("w")}
-    asked = {"v10": ("v", 0.1), "v50": ("v", 0.5), "w90": ("w", 0.9), "w00": ("w", 0.0), "w100": ("w", 1.0)}
-    small = quantiles.summarize(df, ["g"], m, asked).orderBy("g").collect()
-    for limit in (0, 1666):  # every group on the ladder, and a mixture
-        for ladder in (quantiles.FLOAT_LADDER, quantiles.DOUBLE_LADDER):
-            got = quantiles.summarize(df, ["g"], m, asked, ladder=ladder, buffered_rows=limit).orderBy("g").collect()
-            for a, b in zip(small, got):
-                for c in asked:
-                    assert b[c] == pytest.approx(a[c], rel=1e-12, abs=1e-15)
+@pytest.mark.parametrize("ladder", [quantiles.FLOAT_LADDER, quantiles.DOUBLE_LADDER])
+def test_quantiles_of_groups_of_all_sizes(spark, ladder):
+    """Sizes 0 to thousands, ties, NULL keys, NaN and infinities, against the sorted values."""
+    import math
+
+    rows = []
+    for g, size in ((None, 4), (1, 1), (2, 2), (3, 37), (4, 4000), (5, 3)):
+        for i in range(size):
+            v = round(math.sin(i * 1.7) * 3, 1) if g == 3 else math.sin(i * 1.7) * 3
+            rows.append((g, v, i))
+    rows += [(6, None, 0), (7, float("inf"), 0), (7, 1.0, 0), (7, float("-inf"), 0), (7, float("nan"), 0), (8, float("inf"), 0), (8, float("inf"), 0)]
+    df = spark.createDataFrame(rows, "g int, v double, i int")
+    asked = {f"p{int(q * 100)}": ("v", q) for q in (0.0, 0.1, 0.5, 0.9, 1.0)}
+    got = {r.g: r for r in quantiles.summarize(df, ["g"], {"v": F.col("v")}, asked, [F.count("*").alias("n")], ladder).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for g, r in got.items():
+        values = sorted(v for k, v, _ in rows if k == g and v is not None and v == v)
+        assert r.n == sum(k == g for k, _, _ in rows)
+        for name, (_, q) in asked.items():
+            if not values:
+                assert r[name] is None
+                continue
+            at = q * (len(values) - 1)
+            lo, hi = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            want = lo if at == int(at) or lo == hi else lo + (hi - lo) * (at - int(at))
+            assert r[name] == pytest.approx(want, rel=1e-12, abs=1e-15, nan_ok=True)
+    empty = quantiles.summarize(df.where("false"), [], {"v": F.col("v")}, asked).collect()
+    assert [tuple(r) for r in empty] == [(None,) * 5]
 
 
 def test_average_ranks(spark):
