@@ -30,7 +30,9 @@ def chord_to_metres(chord: Column) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), chord / F.lit(2.0)))
 
 
-def metres_to_chord(metres: float) -> float:
+def metres_to_chord(metres: float | Column) -> float | Column:
+    if isinstance(metres, Column):
+        return F.lit(2.0) * F.sin(F.least(metres / (2 * EARTH_RADIUS_M), F.lit(math.pi / 2)))
     return 2.0 * math.sin(min(metres / (2 * EARTH_RADIUS_M), math.pi / 2))
 
 

@@ -13,7 +13,6 @@ from lakespark.operators.dedupe import even_sample
 from lakespark.operators.quantiles import summarize
 
 HOVER_CELL = 0.02
-HOVER_POINTS = 180000
 
 
 def display_limits(df: DataFrame, metric: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -117,12 +116,12 @@ def true_color(
 
 
 def hover_points(
-    df: DataFrame, values: Sequence[str], cell: float = HOVER_CELL, max_points: int = HOVER_POINTS
+    df: DataFrame, values: Sequence[str], cell: float = HOVER_CELL, max_points: int | None = None
 ) -> DataFrame:
-    """Sampled points with their bucket indices and six-decimal coordinates."""
-    sampled = even_sample(
-        df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()), max_points
-    )
+    """Points with their bucket indices and six-decimal coordinates; all, or an even sample of ``max_points``."""
+    sampled = df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    if max_points is not None:
+        sampled = even_sample(sampled, max_points)
     return sampled.select(
         "scene_id",
         F.floor(F.col("longitude").cast("double") / cell).cast("long").alias("bx"),
@@ -136,11 +135,11 @@ def hover_points(
 
 
 def spatial_buckets(
-    df: DataFrame, values: Sequence[str], cell: float = HOVER_CELL, max_points: int = HOVER_POINTS
+    df: DataFrame, values: Sequence[str], cell: float = HOVER_CELL, max_points: int | None = None
 ) -> DataFrame:
     """Points of each scene and bucket as one sorted array.
 
-    The sample bounds a scene at ``max_points`` points, hence every array too.
+    An array holds the pixels of ``cell`` degrees squared, which the resolution of the swath bounds.
     """
     points = hover_points(df, values, cell, max_points)
     record = F.struct("obs_id", "lat6", "lon6", "Hylak_id", *values)

@@ -26,8 +26,6 @@ from lakespark.schema import NATIVE_BANDS
 
 M_PER_DEG = geo.METRES_PER_DEGREE
 DISPLAY_CAP = 30_000_000
-QUICK_EXPORT_CAP = 35_000_000
-PREVIEW_CAP = 60_000_000
 SCIENCE_CAP = 25_000_000
 CHUNK = 128
 
@@ -236,10 +234,14 @@ def sinusoidal_grid(
 def raster_grid(
     df: DataFrame,
     resolution_m: float,
-    max_cells: int = PREVIEW_CAP,
+    max_cells: int | None = None,
     keys: Sequence[str] = ("scene_id",),
 ) -> DataFrame:
-    """Plate-carree preview grid, coarsened once when too large; row 0 is north."""
+    """Plate-carree preview grid; row 0 is north.
+
+    With ``max_cells`` a larger grid is coarsened once; ``resolution_m`` of the result is the
+    resolution that the grid has.
+    """
     ext = df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(*keys).agg(*_extent())
     mid = F.lit(0.5) * (F.col("lat_min") + F.col("lat_max"))
     dy = F.lit(float(resolution_m) / M_PER_DEG)
@@ -250,7 +252,9 @@ def raster_grid(
 
     lon_span, lat_span = F.col("lon_max") - F.col("lon_min"), F.col("lat_max") - F.col("lat_min")
     first = (count(lon_span, dx) * count(lat_span, dy)).cast("double")
-    factor = F.when(first > max_cells, F.sqrt(first / F.lit(float(max_cells)))).otherwise(1.0)
+    factor = F.lit(1.0)
+    if max_cells is not None:
+        factor = F.when(first > max_cells, F.sqrt(first / F.lit(float(max_cells)))).otherwise(1.0)
     sized = ext.withColumns({"_f": factor, "_dx": dx, "_dy": dy}).withColumns(
         {"step_lon": F.col("_dx") * F.col("_f"), "step_lat": F.col("_dy") * F.col("_f")}
     )
@@ -288,6 +292,7 @@ def raster_cells(grid: DataFrame) -> DataFrame:
         "col",
         (F.col("north") - (F.col("row") + 0.5) * F.col("dlat")).alias("latitude"),
         (F.col("west") + (F.col("col") + 0.5) * F.col("dlon")).alias("longitude"),
+        "resolution_m",
     )
 
 

@@ -5,17 +5,16 @@ squares of a plane), so a target looks into the few cubes its search ball meets
 the join is an equi-join. Chords order like arcs, so the result is exact, with no
 special case at the poles or the dateline.
 
-Cubes may be crowded. Pixels at one place are reduced to one before the join. Each
-cube is divided once more, and a target first meets a single representative per
-small cube; the other pixels of a small cube are looked at only where the small
-cube could hold something nearer than the best representative.
+Pixels at one place are reduced to one before the join, so a cube holds no more than the
+resolution of the swath allows. The choice is a hash aggregate on a fixed-width key, and
+the whole is one lazy plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakespark.functions import geo
@@ -24,12 +23,9 @@ from lakespark.operators.dedupe import first_by
 from lakespark.operators.qa import comparison_valid, primary_valid
 from lakespark.operators.quantiles import summarize
 from lakespark.schema import NATIVE_BANDS, NATIVE_WAVELENGTHS
-from lakespark.session import settle
 
 NEAREST_RADIUS_M = 600.0
-SUBDIVISIONS = 32
 _CUBE = ["_cx", "_cy", "_cz"]
-_FINE = ["_fx", "_fy", "_fz"]
 _ROUND = 1.0 + 1e-9
 
 
@@ -74,27 +70,30 @@ _STEPS = float(1 << 58)
 
 
 def _id_span() -> Column:
-    return F.expr("cast(9223372036854775808 as decimal(19,0))")
+    return F.expr("cast(18446744073709551616 as decimal(20,0))")
+
+
+def _lowest_id() -> Column:
+    return F.expr("cast(9223372036854775808 as decimal(20,0))")
 
 
 def _ordered() -> Column:
     """Distance, then obs_id, as one fixed-width number, so that ``min`` can hash.
 
     The squared distance keeps 58 bits relative to the reach, which is finer than the
-    coordinates themselves.
+    coordinates themselves. Ids of either sign keep their order.
     """
     step = F.floor(F.col("_d2") / (F.col("_reach") * F.col("_reach")) * F.lit(_STEPS))
-    return (
-        step.cast("decimal(19,0)") * _id_span() + F.col("obs_id").cast("decimal(19,0)")
-    ).cast("decimal(38,0)")
+    place = F.col("obs_id").cast("decimal(20,0)") + _lowest_id()
+    return (step.cast("decimal(18,0)") * _id_span() + place).cast("decimal(38,0)")
 
 
 def _key_obs() -> Column:
-    return F.expr("cast(_key % cast(9223372036854775808 as decimal(19,0)) as bigint)")
+    return (F.expr("_key % cast(18446744073709551616 as decimal(20,0))") - _lowest_id()).cast("long")
 
 
 def _key_distance2() -> Column:
-    step = F.expr("_key div cast(9223372036854775808 as decimal(19,0))").cast("double")
+    step = F.expr("_key div cast(18446744073709551616 as decimal(20,0))").cast("double")
     return step / F.lit(_STEPS) * (F.col("_reach") * F.col("_reach"))
 
 
@@ -113,72 +112,39 @@ def nearest_within(
     """
     on, target_id = list(on), list(target_id)
     cube = F.col("_reach") * F.lit(2.0)
-    fine = cube / F.lit(float(SUBDIVISIONS))
     reach2 = F.col("_reach") * F.col("_reach") * F.lit(_ROUND)
 
+    # copies of one place are one place; a hot cube is split by the skew handling of the join
     places = (
         pixels.groupBy(*on, "_reach", "_x", "_y", "_z")
         .agg(F.min("obs_id").alias("obs_id"))
-        .withColumns({**_cubes(_CUBE, cube), **_cubes(_FINE, fine)})
-        .repartition(*on, *_CUBE)
-    )
-    small = Window.partitionBy(*on, *_CUBE, *_FINE)
-    ranked = places.withColumns(
-        {
-            "_n": F.count(F.lit(1)).over(small),
-            "_rank": F.row_number().over(small.orderBy("obs_id")),
-        }
-    )
-    heads = ranked.where(F.col("_rank") == 1).drop("_rank", "_reach")
-
-    def look(df: DataFrame) -> DataFrame:
-        """One row per target and cube that its search ball meets."""
-        own = F.lit(True)
-        for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
-            span = F.sequence(
-                F.floor((F.col(axis) - F.col("_reach") * _ROUND) / cube).cast("long"),
-                F.floor((F.col(axis) + F.col("_reach") * _ROUND) / cube).cast("long"),
-            )
-            df = df.withColumn(n, F.explode_outer(span))
-            own = own & (F.col(n) == F.floor(F.col(axis) / cube).cast("long"))
-        useful = _box_distance2(_CUBE, cube) <= reach2
-        if spherical:
-            useful = useful & _meets_sphere(cube)
-        # a target keeps its own cube in any case, so that every target reaches the aggregate
-        return df.where(F.coalesce(own | useful, F.lit(True)))
+        .withColumns(_cubes(_CUBE, cube))
+        .drop("_reach")
+    )
+    # one row per target and cube that its search ball meets
+    own = F.lit(True)
+    seen = targets
+    for n, axis in zip(_CUBE, ("_tx", "_ty", "_tz")):
+        span = F.sequence(
+            F.floor((F.col(axis) - F.col("_reach") * _ROUND) / cube).cast("long"),
+            F.floor((F.col(axis) + F.col("_reach") * _ROUND) / cube).cast("long"),
+        )
+        seen = seen.withColumn(n, F.explode_outer(span))
+        own = own & (F.col(n) == F.floor(F.col(axis) / cube).cast("long"))
+    useful = _box_distance2(_CUBE, cube) <= reach2
+    if spherical:
+        useful = useful & _meets_sphere(cube)
+    # a target keeps its own cube in any case, so that every target reaches the aggregate
+    seen = seen.where(F.coalesce(own | useful, F.lit(True)))
 
     rest = [F.first(c).alias(c) for c in targets.columns if c not in target_id]
-    in_reach = F.col("_d2") <= reach2
     best = (
-        look(targets).join(heads.drop("_n"), [*on, *_CUBE], "left")
+        seen.join(places, [*on, *_CUBE], "left")
         .withColumn("_d2", _point_distance2())
         .groupBy(*target_id)
-        .agg(*rest, F.min(F.when(in_reach, _ordered())).alias("_key"))
+        .agg(*rest, F.min(F.when(F.col("_d2") <= reach2, _ordered())).alias("_key"))
     )
-    crowd = ranked.where(F.col("_n") > 1)
-    if crowd.isEmpty():
-        # every small cube holds one pixel, so the representatives are all there is
-        return _answer(best, targets.columns)
-    # read twice below: once as the bound that prunes, once as the answer so far
-    best = settle(best)
-    inner = [*on, *_CUBE, *_FINE]
-    narrow = list(dict.fromkeys([*inner, *target_id, "_reach", "_tx", "_ty", "_tz"]))
-    bound = F.coalesce(_key_distance2() * F.lit(_ROUND), reach2)
-    open_cubes = (
-        look(best)
-        .join(crowd.where(F.col("_rank") == 1).select(*inner), [*on, *_CUBE])
-        .where(_box_distance2(_FINE, fine) <= bound * F.lit(_ROUND))
-        .select(*narrow)
-    )
-    refined = (
-        open_cubes.join(crowd.drop("_n", "_rank", "_reach"), inner)
-        .withColumn("_d2", _point_distance2())
-        .where(in_reach)
-        .groupBy(*target_id)
-        .agg(F.min(_ordered()).alias("_closer"))
-    )
-    merged = best.join(refined, target_id, "left").withColumn("_key", F.least("_key", "_closer"))
-    return _answer(merged, targets.columns)
+    return _answer(best, targets.columns)
 
 
 def _answer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -199,14 +165,19 @@ def _on_sphere(df: DataFrame, lat: str, lon: str, names: Sequence[str]) -> DataF
 def nearest_on_sphere(
     targets: DataFrame,
     pixels: DataFrame,
-    radius_m: float,
+    radius_m: float | Column,
     target_id: Sequence[str],
     on: Sequence[str] = ("scene_id", "Hylak_id"),
     lat: str = "latitude",
     lon: str = "longitude",
 ) -> DataFrame:
-    """Targets with ``obs_id`` and ``match_distance_m``; NULL when nothing is in reach."""
-    reach = F.lit(geo.metres_to_chord(radius_m))
+    """Targets with ``obs_id`` and ``match_distance_m``; NULL when nothing is in reach.
+
+    ``radius_m`` is a number, or a column that both sides have and ``on`` determines.
+    """
+    reach = geo.metres_to_chord(radius_m)
+    if not isinstance(radius_m, Column):
+        reach = F.lit(reach)
     t = _on_sphere(targets, lat, lon, ("_tx", "_ty", "_tz")).withColumn("_reach", reach)
     located = pixels.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     p = _on_sphere(located, "latitude", "longitude", ("_x", "_y", "_z")).withColumn("_reach", reach)
@@ -597,10 +568,17 @@ def swath_to_grid(
     cells: DataFrame,
     pixels: DataFrame,
     layers: Sequence[str],
-    resolution_m: float,
     cell_id: Sequence[str] = ("scene_id", "row", "col"),
 ) -> DataFrame:
-    """Nearest pixel of the scene for every grid cell, without a lake key."""
-    radius = max(NEAREST_RADIUS_M, 2.25 * float(resolution_m))
-    found = nearest_on_sphere(cells, pixels, radius, cell_id, ["scene_id"])
+    """Nearest pixel of the scene for every grid cell, without a lake key.
+
+    ``cells`` carry the resolution that their grid has; the search reaches 2.25 times as far. Each of
+    ``layers`` is taken from that pixel.
+    """
+    radius = F.greatest(F.lit(NEAREST_RADIUS_M), F.lit(2.25) * F.col("resolution_m"))
+    t = cells.withColumn("_radius", radius)
+    # one radius for each scene
+    reach = t.groupBy("scene_id").agg(F.max("_radius").alias("_radius"))
+    p = pixels.select("scene_id", "obs_id", "latitude", "longitude").join(reach, "scene_id")
+    found = nearest_on_sphere(t, p, F.col("_radius"), cell_id, ["scene_id"]).drop("_radius")
     return found.join(pixels.select("scene_id", "obs_id", *layers), ["scene_id", "obs_id"], "left")

@@ -344,12 +344,11 @@ def o03_stride(spark, sf):
         f"""select {i("scene_id")}, {i("bx")}, {i("by_", "by")}, {i("count(*)", "n")},
             {i("min(obs_id)", "first_obs")}, {i("max(obs_id)", "last_obs")}, {r("sum(lat6)", "lat_sum")} from (
           select *, floor(cast(longitude as double)/0.02e0) as bx, floor(cast(latitude as double)/0.02e0) as by_,
-                 round(cast(latitude as double), 6) as lat6 from smp) group by scene_id, bx, by_""",
-        smp=SAMPLED,
+                 round(cast(latitude as double), 6) as lat6 from pixels where latitude is not null and longitude is not null) group by scene_id, bx, by_""",
     ),
 )
 def a20(spark, sf):
-    b = display.spatial_buckets(fx.pixels(spark, sf), ["rhos_665"], max_points=_SAMPLE_N)
+    b = display.spatial_buckets(fx.pixels(spark, sf), ["rhos_665"])
     total = F.aggregate("points", F.lit(0.0), lambda acc, p: acc + p["lat6"])
     return b.select(
         "scene_id", "bx", "by", "n",

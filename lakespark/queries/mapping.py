@@ -20,13 +20,16 @@ def xyz_sql(source: str) -> str:
 
 
 def nearest_sql(targets: str, pixels: str, key: str, on: str, radius: float) -> str:
-    """Nearest pixel by brute force inside the join key: (key..., best) with best = (metres, obs_id)."""
+    """Nearest pixel by brute force inside the join key and neighbouring slices of z: (key..., metres, obs_id)."""
     keys = ", ".join(f"t.{k}" for k in key.split(","))
     same = " and ".join(f"t.{k} = p.{k}" for k in on.split(","))
     d2 = "(t.x-p.x)*(t.x-p.x) + (t.y-p.y)*(t.y-p.y) + (t.z-p.z)*(t.z-p.z)"
     metres = f"12742000e0*asin(least(1e0, sqrt({d2})/2e0))"
+    slice_ = f"cast(floor(z/({radius}e0/6371000e0)) as bigint)"
     return f"""select {keys}, min({metres}) as metres, arg_min(p.obs_id, ({d2}, p.obs_id)) as obs_id
-      from {targets} t join {pixels} p on {same} where {metres} <= {radius}e0 group by {keys}"""
+      from (select *, {slice_} as zs from {targets}) t
+      join (select *, {slice_} + d as zs from {pixels}, (values (-1), (0), (1)) around(d)) p on {same} and t.zs = p.zs
+      where {metres} <= {radius}e0 group by {keys}"""
 
 
 # --- grids ------------------------------------------------------------------------------------
@@ -121,13 +124,11 @@ def g04(spark, sf):
     return grids.sinusoidal_grid(fx.pixels(spark, sf), RES).drop("resolution_m", "row0")
 
 
-def raster_grid_sql(res: float, cap: int) -> str:
+def raster_grid_sql(res: float) -> str:
     return f"""select scene_id, x0 as west, y0 as south, x1 as east, y1 as north,
-      cast(greatest(1, ceil((x1-x0)/(dx*f))) as bigint) as nx, cast(greatest(1, ceil((y1-y0)/(dy*f))) as bigint) as ny,
-      (x1-x0)/nx as dlon, (y1-y0)/ny as dlat, {res}e0*f as res
-    from (select *, {res}e0/111320e0 as dy, {res}e0/greatest(111320e0*cos(radians(0.5e0*(y0+y1))), 1e0) as dx,
-      greatest(1, ceil((x1-x0)/dx))*greatest(1, ceil((y1-y0)/dy)) as n0,
-      case when n0 > {cap} then sqrt(n0/{cap}e0) else 1e0 end as f from ext)"""
+      cast(greatest(1, ceil((x1-x0)/dx)) as bigint) as nx, cast(greatest(1, ceil((y1-y0)/dy)) as bigint) as ny,
+      (x1-x0)/nx as dlon, (y1-y0)/ny as dlat, {res}e0 as res
+    from (select *, {res}e0/111320e0 as dy, {res}e0/greatest(111320e0*cos(radians(0.5e0*(y0+y1))), 1e0) as dx from ext)"""
 
 
 _G05 = f"{many(r, ('west', 'south', 'east', 'north', 'dlon', 'dlat'))}, {i('nx')}, {i('ny')}, {r('res', 'resolution_m')}"
@@ -135,10 +136,10 @@ _G05 = f"{many(r, ('west', 'south', 'east', 'north', 'dlon', 'dlat'))}, {i('nx')
 
 @query(
     "g05_raster_grid",
-    sql(f"select {i('scene_id')}, {_G05} from rg", ext=_EXT, rg=raster_grid_sql(300.0, 9000)),
+    sql(f"select {i('scene_id')}, {_G05} from rg", ext=_EXT, rg=raster_grid_sql(300.0)),
 )
 def g05(spark, sf):
-    return grids.raster_grid(fx.pixels(spark, sf), 300.0, 9000).drop("ncell", "row0")
+    return grids.raster_grid(fx.pixels(spark, sf), 300.0).drop("ncell", "row0")
 
 
 # --- binning ---------------------------------------------------------------------------------
@@ -596,7 +597,7 @@ _J21 = dict(
     indexed=INDEXED,
     nat=NATIVE,
     ext=_EXT,
-    rg=raster_grid_sql(300.0, 4000),
+    rg=raster_grid_sql(300.0),
     rc=_RC,
     tx=f"select *, cast(floor({_LA}/0.02e0) as bigint) as by_, cast(floor({_LO}/0.02e0) as bigint) as bx from ({xyz_sql('rc')})",
     px=f"select *, cast(floor({_LA}/0.02e0) as bigint) + dy as by_, cast(floor({_LO}/0.02e0) as bigint) + dx as bx from ({xyz_sql('nat')}), (values (-1),(0),(1)) a(dy), (values (-1),(0),(1)) b(dx)",
@@ -615,6 +616,6 @@ _J21 = dict(
 )
 def j21(spark, sf):
     n = native(spark, sf)
-    grid = grids.require_cells(grids.raster_grid(fx.pixels(spark, sf), 300.0, 4000), grids.PREVIEW_CAP)
-    mapped = nearest.swath_to_grid(grids.raster_cells(grid), n, ["NDCI", "rhos_665"], 300.0)
+    grid = grids.raster_grid(fx.pixels(spark, sf), 300.0)
+    mapped = nearest.swath_to_grid(grids.raster_cells(grid), n, ["NDCI", "rhos_665"])
     return mapped.select("scene_id", "row", "col", "obs_id", "NDCI", "rhos_665")

@@ -259,7 +259,7 @@ def j09(spark, sf):
 
 _SWATH_BOX = """select scene_id, min(cast(longitude as double)) as w, min(cast(latitude as double)) as s,
   max(cast(longitude as double)) as e, max(cast(latitude as double)) as n
-  from pixels where source_row % 40 = 0 and source_col % 40 = 0 group by scene_id"""
+  from pixels group by scene_id"""
 
 
 @query(
@@ -273,7 +273,7 @@ _SWATH_BOX = """select scene_id, min(cast(longitude as double)) as w, min(cast(l
     ),
 )
 def j25(spark, sf):
-    return mb.lakes_under_swath(fx.swath(spark, sf), fx.lakes(spark, sf), 40)
+    return mb.lakes_under_swath(fx.swath(spark, sf), fx.lakes(spark, sf))
 
 
 @query(

@@ -291,3 +291,21 @@ def test_bands():
     with pytest.raises(KeyError):
         bands.nearest_band(["rhos_865"], "rhos", 885)
     assert geo.metres_to_chord(600.0) == pytest.approx(600 / 6371000, rel=1e-6)
+
+
+def test_coarse_grid_is_searched_at_its_own_resolution(spark):
+    """A grid that a cell limit coarsens to 3 km finds pixels 3 km apart, one for every cell."""
+    step = 0.027
+    pixels = spark.createDataFrame([("s", i * 40 + j, 10 + i * step, 20 + j * step, float(i)) for i in range(40) for j in range(40)], "scene_id string, obs_id long, latitude double, longitude double, v double")
+    grid = grids.raster_grid(pixels, 300.0, 1600)
+    assert grid.head().resolution_m > 2500
+    found = nearest.swath_to_grid(grids.raster_cells(grid), pixels, ["v"])
+    assert found.where("obs_id is null").count() == 0
+    assert found.count() == grid.head().ncell
+
+
+def test_nearest_takes_ids_of_either_sign(spark):
+    pixels = spark.createDataFrame([(-5, 1.0, 1.0), (7, 1.0, 1.0), (-9, 1.001, 1.0)], "obs_id long, latitude double, longitude double").withColumn("scene_id", F.lit("s")).withColumn("Hylak_id", F.lit(1))
+    targets = spark.createDataFrame([("t", 1.0, 1.0), ("u", 1.0009, 1.0), ("far", 5.0, 5.0)], "k string, latitude double, longitude double").withColumn("scene_id", F.lit("s")).withColumn("Hylak_id", F.lit(1))
+    got = {r.k: r.obs_id for r in nearest.nearest_on_sphere(targets, pixels, 600.0, ["k"]).collect()}
+    assert got == {"t": -5, "u": -9, "far": None}
