@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -253,8 +255,10 @@ def comparison_valid(
     chosen = F.when(_col("_any_strict"), _positive("cyan_strict_valid_mask")).otherwise(
         _positive("valid_water_mask") if "valid_water_mask" in df.columns else F.lit(True)
     )
-    # one row per scope, so the optimizer can choose a size-checked broadcast
-    return df.join(any_strict, scope).withColumn(out, chosen).drop("_any_strict")
+    # one row per scope, so the optimizer can choose a size-checked broadcast; a NULL key is a scope too
+    of = any_strict.withColumnsRenamed({k: f"_of_{k}" for k in scope})
+    same = reduce(and_, [_col(k).eqNullSafe(_col(f"_of_{k}")) for k in scope])
+    return df.join(of, same).withColumn(out, chosen).drop("_any_strict", *[f"_of_{k}" for k in scope])
 
 
 def masked_display(df: DataFrame, columns: Iterable[str]) -> DataFrame:

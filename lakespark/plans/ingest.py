@@ -11,7 +11,7 @@ from lakespark.operators.membership import assign_lake, scene_candidate_lakes
 from lakespark.operators.qa import native_qa
 from lakespark.operators.stats import lake_window_stats, with_lake_metadata
 from lakespark.schema import NATIVE, with_missing_columns
-from lakespark.sources.native import write_native, write_stats
+from lakespark.sources.native import LAYOUT, clear_scenes, write_native, write_stats
 
 
 def native_observations(
@@ -39,6 +39,15 @@ def native_observations(
     )
 
 
+def _clear_emptied(spark: SparkSession, scenes: DataFrame, native: DataFrame, config_hash: str, root: str) -> None:
+    """Remove earlier rows and statistics of scenes that yield nothing now."""
+    ids = scenes.select(F.col("scene_id").cast("string").alias("scene_id"))
+    filled = native.select(F.col("scene_id").cast("string").alias("scene_id")).distinct()
+    emptied = ids.join(filled, "scene_id", "left_anti")
+    clear_scenes(emptied, f"{root}/native", config_hash, len(LAYOUT))
+    clear_scenes(emptied, f"{root}/stats", config_hash, 0)
+
+
 def ingest(
     spark: SparkSession,
     pixels: DataFrame,
@@ -56,6 +65,7 @@ def ingest(
     """
     native = native_observations(pixels, scenes, lakes, flag_map, config_hash, **options)
     write_native(native, f"{root}/native")
+    _clear_emptied(spark, scenes, native, config_hash, root)
     stored = spark.read.parquet(f"{root}/native").where(F.col("config_hash") == config_hash)
     stored = with_missing_columns(
         stored.withColumn("scene_id", F.col("scene_id").cast("string")), NATIVE

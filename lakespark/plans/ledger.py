@@ -172,7 +172,7 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
     """
     (
         settle(ledger)
-        .repartition("config_hash")
+        .repartition("config_hash", F.pmod(F.xxhash64("scene_id"), F.lit(16)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("config_hash")

@@ -319,7 +319,7 @@ def s13(spark, sf):
     path = _fresh(spark)
     store.write_grid(cells, grid, path)
     back = spark.read.parquet(path)
-    return back.groupBy("scene_id", "chunk_id").agg(
+    return back.groupBy(F.col("scene_id").cast("long").alias("scene_id"), "chunk_id").agg(
         F.count("*").alias("cells"), F.count("obs_id").alias("matched")
     )
 

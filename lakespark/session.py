@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partition values stay the strings that were written: a hash of digits is no number.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

@@ -28,3 +28,32 @@ def test_share_csv_and_manifest(spark, small_swath, two_lakes, tmp_path):
     row = store.scene_manifest(spark.read.parquet(path), windows, lakes, sums).head()
     assert row.compact_rows == 12 and row.candidate_lakes == 2 and row.windows == ["FULL"]
     assert row.compact_bytes > 0 and len(row.files[0].sha256) == 64
+
+
+def test_repeated_ingest_of_an_emptied_scene(spark, small_swath, two_lakes, tmp_path):
+    """Rows and statistics of a scene go when its repeated run yields none; hashes of digits stay strings."""
+    from conftest import box
+    from lakespark.plans.ingest import ingest
+    from lakespark.schema import MULTIPOLYGON
+    from pyspark.sql import types as T
+
+    fields = [T.StructField(n, T.StringType()) for n in ("scene_id", "name", "start")]
+    schema = T.StructType([*fields, T.StructField("footprint", MULTIPOLYGON)])
+    around = box(-86.0, 39.0, -84.0, 41.0)
+    names = [(s, f"name {s}", "2024-01-01T12:00:00Z", around) for s in ("007", "scene")]
+    scenes = spark.createDataFrame(names, schema)
+    pixels = bands.decode_bands(small_swath, fx.BANDS)
+    both = pixels.union(pixels.withColumn("scene_id", F.lit("007")))
+    root = str(tmp_path)
+    rows = {r.scene_id: r.stats_rows for r in ingest(spark, both, scenes, two_lakes, fx.FLAG_MAP, "0012", root).collect()}
+    assert rows["007"] == rows["scene"] > 0
+    rows = {r.scene_id: r.stats_rows for r in ingest(spark, pixels, scenes, two_lakes, fx.FLAG_MAP, "0012", root).collect()}
+    assert rows == {"007": 0, "scene": rows["scene"]}
+    assert {r.scene_id for r in store.read_native(spark, f"{root}/native", config_hash="0012").collect()} == {"scene"}
+    assert {r.scene_id for r in store.read_stats(spark, f"{root}/stats", "0012").collect()} == {"scene"}
+
+
+def test_comparison_mask_keeps_null_scopes(spark):
+    df = spark.createDataFrame([(None, 1, None), (None, 0, None), ("a", 1, 0), ("a", 1, 1)], "scene_id string, valid_water_mask int, cyan_strict_valid_mask int")
+    got = sorted((r.scene_id or "", r.comparison_valid) for r in qa.comparison_valid(df).collect())
+    assert got == [("", False), ("", True), ("a", False), ("a", True)]
