@@ -70,8 +70,12 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in every whole text: counts and digest of the patterns, and all spans."""
     found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] < 3)
-    count = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
-    return found.select("doc_id", *count, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("secrets")).alias("spans"))
+
+    def count(kind: str):
+        of = secrets.KINDS.index(kind)
+        return F.size(F.filter("secrets", lambda s: s["kind"] == of)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secrets.KINDS[:3]), F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("secrets")).alias("spans"))
 
 
 @query
