@@ -1,3 +1,5 @@
+"""Fixtures: rows that every operator must handle."""
+
 import pytest
 
 EDGES = [

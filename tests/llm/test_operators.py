@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from odd_rows import docs, edges, nothing  # noqa: F401
+
 from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, queries, repeats, secrets, toxicity, webp
 from lakespark.llm.common import PUNCTUATION, Words, crc_of_id, slices
 from pyspark.sql import functions as F

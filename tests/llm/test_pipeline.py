@@ -1,5 +1,7 @@
 """The pipeline as a whole, and its stages on odd rows."""
 
+from odd_rows import edges, nothing  # noqa: F401
+
 import corpus_pipeline as cp
 from lakespark.llm import decontam, mixing, neardup, secrets
 
