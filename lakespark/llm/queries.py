@@ -82,7 +82,7 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     """Words that a mix of the sources by weight takes of every document."""
     mixed = mixing.mix(table(spark, sf, "documents"))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), mixing.taken(mixed).alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), mixing.taken(mixed).alias("taken"))
 
 
 @query
@@ -115,3 +115,30 @@ def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
     found = licenses.scan(table(spark, sf, "documents"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["license"], s["start"], s["end"])), ",")
     return found.select("doc_id", "n_sentences", "licenses", spans.alias("spans"))
+
+
+ORACLES["op5_source_mix"] = f"""
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size,
+    cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15) as bigint) as key_
+  from documents),
+s as (
+  select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as nth
+  from d group by source),
+w as (select *, [3e0, 1e0, 2e0][cast(nth % 3 as integer) + 1] as w, 2e0*source_size as cap from s),
+l as (
+  select *, cap/w as full_at, row_number() over along as k,
+    (1.5e0*sum(source_size) over () - coalesce(sum(cap) over (along rows between unbounded preceding and 1 preceding), 0e0))
+      / (sum(w) over () - coalesce(sum(w) over (along rows between unbounded preceding and 1 preceding), 0e0)) as level
+  from w window along as (order by cap/w, nth)),
+t as (
+  select source, source_size, least(cap, coalesce((select arg_min(level, k) from l where full_at > level)*w, cap)) as target from l),
+b as (select greatest(1, cast(floor(coalesce(sum(size), 0)/{mixing.BLOCKS}e0) as bigint)) as block from d),
+q as (
+  select *, cast(ceil(source_size/cast(block as double)) as bigint) as blocks, cast(round(target/block) as bigint) as quota from t, b),
+r as (
+  select *, coalesce(sum(size) over (partition by source order by key_, doc_id, size rows between unbounded preceding and 1 preceding), 0) as start
+  from d)
+select doc_id, size, source_size, round(target, 6) as target,
+  cast(greatest(0, least(start + size, quota*block) - start) + greatest(0, least(start + size, (quota - blocks)*block) - start) as bigint) as taken
+from r join q on r.source is not distinct from q.source"""

@@ -279,6 +279,13 @@ def test_mix_query(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_mix_equals_its_sql(spark):
+    from compare import connect, differences
+
+    df = queries.QUERIES["op5_source_mix"](spark, SF)
+    assert differences(df, connect(SF), queries.ORACLES["op5_source_mix"]) is None
+
+
 def test_mix_odd_rows(edges, nothing):
     mixed = mixing.mix(edges)
     rows = mixed.select("*", mixing.taken(mixed).alias("taken")).collect()
