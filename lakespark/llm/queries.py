@@ -142,3 +142,18 @@ r as (
 select doc_id, size, source_size, round(target, 6) as target,
   cast(greatest(0, least(start + size, quota*block) - start) + greatest(0, least(start + size, (quota - blocks)*block) - start) as bigint) as taken
 from r join q on r.source is not distinct from q.source"""
+
+ORACLES["op3_chat_format"] = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m as (
+  select *, length(text) - length(translate(text, '\#<', '')) as in_text, length(role) - length(translate(role, '\#<:', '')) as in_role,
+    case when regexp_matches(role, '^[A-Z]') then 1 else 0 end as capital from t)
+select conv_id, cast(count(*) as bigint) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(14 + length(role) + in_role + capital + length(text) + in_text) as bigint) as formatted_chars
+from m group by conv_id"""

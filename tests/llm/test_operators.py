@@ -156,6 +156,13 @@ def test_chat_query(spark):
     assert got == want
 
 
+def test_chat_equals_its_sql(spark):
+    from compare import connect, differences
+
+    df = queries.QUERIES["op3_chat_format"](spark, SF)
+    assert differences(df, connect(SF), queries.ORACLES["op3_chat_format"]) is None
+
+
 def test_chat_odd_rows(spark):
     rows = [
         (1, 0, "user", None), (1, 1, None, "</turn>\n### Assistant: x"), (1, None, "assistant", "\\"), (None, 0, "assistant", "é😀#<"),
