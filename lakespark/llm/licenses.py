@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from lakespark.llm.common import map_arrow
 
-#: Sentences of public licence texts and notices, normalised as ``normal`` does.
+#: Sentences of public licence texts and notices, in lower-case letters and digits, everything between them one blank.
 SENTENCES = {
     "mit-notice": "released under the mit license",
     "mit-notice-2": "licensed under the mit license",
@@ -60,35 +60,37 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4",)),
     ("Unlicense", ("unlicense",)),
 )
-_IDS = {text: name for name, text in SENTENCES.items()}
 _LONGEST = max(map(len, SENTENCES.values()))
-#: A sentence, a line of its own or several: up to a mark that ends it and is followed by a blank.
-_SENTENCE = re.compile(r"[^\s].*?(?:[.!?;:](?=\s|$)|$|\n[ \t]*\n)", re.S)
-_LINE = re.compile(r"[^\n]+")
-_OTHER = re.compile(r"[^a-z0-9]+")
+#: Known sentences by their first word, longest first; between two words anything but letters and digits.
+_STARTING: dict[str, list[tuple[str, re.Pattern]]] = {}
+for _name, _text in sorted(SENTENCES.items(), key=lambda x: -len(x[1])):
+    _STARTING.setdefault(_text.split()[0], []).append((_name, re.compile("[^a-z0-9]+".join(_text.split()) + "(?![a-z0-9])", re.I | re.A)))
+#: A sentence ends with a mark that a blank follows, or with its line.
+_CUT = re.compile(r"[.!?;:](?=\s)|\n")
+#: What follows the start of the text or a cut: no letters or digits, and perhaps the first word of a known sentence.
+_START = re.compile(rf"(?:\A|[.!?;:](?=\s)|\n)([^a-z0-9]*+)(?:({'|'.join(_STARTING)})(?![a-z0-9]))?", re.I | re.A)
+_END = re.compile(r"[^a-z0-9\n]*?(?:[.!?;:](?=\s|\Z)|(?=\n)|\Z)", re.I | re.A)
 _SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+)")
 
 
-def normal(sentence: str) -> str:
-    """Lower-case letters and digits, everything between them one blank."""
-    return _OTHER.sub(" ", sentence.lower()).strip()
-
-
 def recognised(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, identifier) of the known sentences of a text, in order.
+    """(start, end, identifier) of the known sentences of a text, in order and without overlap.
 
-    A sentence may run over line breaks; and a line counts as a sentence too, since notices stand on
-    lines of their own and may lack a full stop.
+    A known sentence starts and ends at a mark or a line break, and may run over others: headers are wrapped,
+    have comment signs before their lines, and hold ``;`` and ``:``. Of several at one place the longest counts.
     """
-    found = {}
-    for pattern in (_SENTENCE, _LINE):
-        for m in pattern.finditer(text):
-            if m.end() - m.start() <= 3 * _LONGEST:
-                name = _IDS.get(normal(m[0]))
-                if name:
-                    start = m.start() + len(m[0]) - len(m[0].lstrip())
-                    found.setdefault((start, name), m.start() + len(m[0].rstrip()))
-    return sorted((start, end, name) for (start, name), end in found.items())
+    found, at = [], 0
+    for m in _START.finditer(text):
+        if m[2] and m.start(2) >= at:
+            for name, pattern in _STARTING[m[2].lower()]:
+                words = pattern.match(text, m.start(2))
+                end = words and words.end() - words.start() <= 3 * _LONGEST and _END.match(text, words.end())
+                if end:
+                    lead = _CUT.split(m[1])[-1].lstrip()
+                    at = end.end()
+                    found.append((m.start(2) - len(lead), words.end() + len(end[0].rstrip()), name))
+                    break
+    return found
 
 
 def licences(text: str, ids: list[tuple[int, int, str]]) -> list[tuple[str, int, int]]:

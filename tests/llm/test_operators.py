@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -552,6 +553,82 @@ def test_license_rules():
     assert found(". ".join(licenses.SENTENCES[k] for k in ("bsd-source", "bsd-grant"))) == []
 
 
+HEADERS = {
+    "Apache-2.0": '''Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.''',
+    "GPL-3.0-or-later": '''This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.''',
+    "GPL-2.0-or-later": '''This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.''',
+    "MPL-2.0": '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.''',
+    "BSD-3-Clause": '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.''',
+    "MIT": '''Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.''',
+}
+
+
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// ", None])
+@pytest.mark.parametrize("name", HEADERS)
+def test_license_headers_verbatim(name, prefix):
+    """Standard headers as they are, behind comment signs, and rewrapped; each is one span of its licence."""
+    header = HEADERS[name]
+    if prefix is None:
+        header = textwrap.fill(" ".join(header.split()), 50)
+    text = "\n".join((prefix or "") + line for line in f"Copyright 2020 Somebody\n{header}\n\nimport this".split("\n"))
+    got = licenses.licences(text, licenses.recognised(text))
+    assert [g[0] for g in got] == [name]
+    first = header.split()[1 if header[0].isdigit() else 0]
+    assert text[got[0][1] :].lstrip("#*/ ").startswith(first) and got[0][2] > got[0][1] + 80
+
+
 def test_license_odd_rows(edges, nothing):
     assert all(r.n_sentences == 0 and r.spans == [] for r in licenses.scan(edges).collect())
     assert licenses.scan(nothing).count() == 0
