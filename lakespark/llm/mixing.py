@@ -1,7 +1,8 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-Each source is a stream of its documents in a permuted order, cut into blocks of equally many
-words. A source's quota is a number of blocks. A binary tree over the output shards
+Each source is a stream of its documents in a permuted order, repeated, of which it gives as many words as
+its target says. These are cut into blocks of equally many words, of which the last may be short, so a source's
+words come out whole whatever the size of a block; its quota is the number of its blocks. A binary tree over the output shards
 splits the quotas: what the left half of a node's shards gets of each source is a
 multivariate hypergeometric draw, so every shard receives exact whole numbers that add up to the
 quotas. A shard then takes its own run of each source's permuted blocks, and shuffles them.
@@ -164,7 +165,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
     Columns: doc_id, source, size (words), source_size, target and ``pieces``, an array of (shard, place,
     from_word, to_word): which words of the document go to which shard, and its random place there.
-    A document of more than one block may be cut between blocks. Null sources form a source of
+    The words of a source add up to its target, rounded, at every size of the corpus. A document of more
+    than one block may be cut between blocks. Null sources form a source of
     their own, last in order; null and empty texts have size 0 and no pieces. Repeated rows are
     separate documents. An empty table gives no rows. Equal input and seed give equal pieces.
     """
@@ -177,8 +179,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     quotas = settle(
         of_source.select(
             "source", "nth", "source_size", "target",
-            F.ceil(F.col("source_size") / block).alias("blocks"),
-            F.round(F.col("target") / block).cast("long").alias("quota"),
+            F.round("target").cast("long").alias("drawn"),
+            F.ceil(F.round("target") / block).cast("long").alias("quota"),
         )
     )
     runs = settle(split_quotas(quotas, shards, seed))
@@ -189,20 +191,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     small = plan.count() <= 10_000
     placed = streams.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("s")))
 
-    # the source's blocks follow each other as often as it repeats; block b of round e is draw e * blocks + b
+    # blocks follow each other over the rounds of the source, so one may end a round and begin the next; the last
+    # ends with the words to draw
     end = F.col("start") + F.col("size")
     rounds = F.sequence(F.lit(0), F.lit(repeats - 1))
 
     def of_round(e: Column) -> Column:
-        lead = e * F.col("blocks")
+        lead = e * F.col("source_size")
 
         def of_run(r: Column) -> Column:
-            lo = F.greatest((r["first"] - lead) * block, F.col("start"))
-            hi = F.least((r["first"] + r["count"] - lead) * block, end)
+            lo = F.greatest(r["first"] * block - lead, F.col("start"))
+            hi = F.least(F.least((r["first"] + r["count"]) * block, F.col("drawn")) - lead, end)
             place = F.xxhash64(F.col("at"), e, r["shard"], F.lit(seed))
             return F.struct(r["shard"].alias("shard"), place.alias("place"), (lo - F.col("start")).alias("from_word"), (hi - F.col("start")).alias("to_word"))
 
-        # the source's last block may be short: its words end where the source ends
         return F.filter(F.transform("runs", of_run), lambda p: p["from_word"] < p["to_word"])
 
     pieces = F.when(F.col("size") > 0, F.flatten(F.transform(rounds, of_round))).otherwise(F.array())

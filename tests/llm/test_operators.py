@@ -318,6 +318,23 @@ def test_mix_pieces_of_shards_are_disjoint_blocks(spark):
     assert max(per_shard.values()) - min(per_shard.values()) <= 5
 
 
+def test_mix_meets_targets_with_large_blocks(spark, monkeypatch):
+    """Blocks of many words, as in a large corpus: small sources still get their targets, in disjoint words of each round."""
+    monkeypatch.setattr(mixing, "BLOCKS", 64)
+    rows = [(i, "w " * (40 + i % 50), "ab"[i % 2]) for i in range(600)] + [(1000 + i, "v " * (7 + 20 * i), f"small{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sum(len(t.split()) for _, t, _ in rows) // mixing.BLOCKS > 500
+    mixed = mixing.mix(docs, shards=5)
+    got = mixed.select("*", mixing.taken(mixed).alias("taken")).collect()
+    check_mix(got, docs.collect())
+    for r in got:
+        covered = np.zeros(r.size, int)
+        for p in r.pieces:
+            assert 0 <= p.from_word < p.to_word <= r.size
+            covered[p.from_word : p.to_word] += 1
+        assert covered.sum() == r.taken and covered.max(initial=0) <= 2
+
+
 def test_hypergeometric_quantiles(spark):
     from math import comb
 
