@@ -17,8 +17,12 @@ from lakespark.llm.common import Words, map_arrow, signed
 
 #: Words of a seed; share of an item's n-grams, rarest first, that are seeds.
 SEED_WORDS, RARE_SHARE = 3, 0.75
-#: Least alignment score of a hit, as a share of the score of an exact copy.
+#: Least alignment score of a hit, as a share of the score of an exact copy, in items too short for ``EVIDENCE``.
 LEAST_SCORE = 0.4
+#: Alignment score of a hit whatever the length of the item: so many words match beyond mismatches and gaps.
+EVIDENCE = 20
+#: Each run of so many n-grams of an item keeps its rarer ones too, so an excerpt has seeds however often it was copied.
+RUN = 6
 #: Characters of benchmark text that one pass handles.
 BLOCK_CHARS = 8_000_000
 _FILTER = 1 << 22
@@ -39,15 +43,19 @@ class Items:
         self.open = np.ones(len(self.item), dtype=bool)
 
     def keep_rare(self, frequency: np.ndarray) -> None:
-        """Leave open as seeds the n-grams up to the item's ``RARE_SHARE`` quantile of frequency."""
+        """Leave open as seeds the n-grams up to the ``RARE_SHARE`` quantile of frequency of the item, or of their run in it."""
         f = np.repeat(frequency, np.diff(self.slot))
-        order = np.lexsort((f, self.item))
-        begin = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        count = np.bincount(self.item, minlength=len(self.ids))
-        limit = np.zeros(len(self.ids), dtype=np.int64)
-        some = count > 0
-        limit[some] = f[order][(begin + np.ceil(RARE_SHARE * count).astype(int) - 1)[some]]
-        self.open = f <= limit[self.item]
+        run = (self.first // RUN + np.arange(len(self.first)))[self.item] + self.place // RUN
+        self.open = (f <= self._quantile(f, self.item)) | (f <= self._quantile(f, run))
+
+    @staticmethod
+    def _quantile(f: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """The ``RARE_SHARE`` quantile of ``f`` in the group of each entry."""
+        order = np.lexsort((f, group))
+        _, begin, which, count = np.unique(group[order], return_index=True, return_inverse=True, return_counts=True)
+        out = np.empty_like(f)
+        out[order] = f[order][begin + np.ceil(RARE_SHARE * count).astype(int) - 1][which]
+        return out
 
     def lookup(self) -> np.ndarray:
         passed = np.zeros(_FILTER, dtype=bool)
@@ -142,7 +150,7 @@ def hits_of(items: Items, passed: np.ndarray, column: pa.Array, least: float):
         x, y = items.first[item[o]], items.first[item[o] + 1]
         score, end = align(_padded(items.words, x, y), _padded(words.hashes, a[o], b[o]))
         share = score / (y - x)
-        good = share >= least
+        good = (share >= least) | (score >= EVIDENCE)
         if not good.any():
             continue
         o, x, y, end, share = o[good], x[good], y[good], end[good], share[good]
@@ -164,8 +172,8 @@ def hits_of(items: Items, passed: np.ndarray, column: pa.Array, least: float):
 def contamination(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word: items that a document holds, copied or edited.
 
-    One row for each row of ``docs`` (doc_id, text) and item whose best passage reaches ``least``; score is
-    1 for an exact copy. Null and empty texts, and items of fewer than three words, give no rows; repeated
+    One row for each row of ``docs`` (doc_id, text) and item whose best passage reaches ``least`` as a share of
+    the item, or a score of ``EVIDENCE`` words, as excerpts of long items do; score is that share, 1 for an exact copy. Null and empty texts, and items of fewer than three words, give no rows; repeated
     rows of either table give repeated rows, null ids are carried. Words are ``[^\\x20\\x09-\\x0D]+``, A-Z
     lower-cased. An empty table on either side gives an empty result. Other columns are ignored.
     """

@@ -225,6 +225,20 @@ def test_contamination_finds_exactly_what_alignment_finds(spark):
     assert all(abs(got[k].score - s) < 1e-5 for k, s in want.items())
 
 
+def test_contamination_finds_excerpts_of_long_items(spark):
+    """Excerpts that are a small share of their item, some copied often; a stretch of 12 words is none."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((59, 300, 300, 2000))]
+    wanted = [(0, 20, 23), (1, 120, 100), (3, 977, 25), *[(2, 200, 23)] * 30]
+    docs = [[word() for _ in range(60)] + items[i][1][a : a + n] + [word() for _ in range(60)] for i, a, n in [*wanted, (1, 50, 12)]]
+    table = spark.createDataFrame([(d, " ".join(b)) for d, b in enumerate(docs)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(b)) for i, b in items], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.score, r.start_word, r.end_word) for r in decontam.contamination(table, benchmark).collect())
+    assert got == [(d, i, round(n / len(items[i][1]), 6), 60, 60 + n) for d, (i, a, n) in enumerate(wanted)]
+    assert [r.doc_id for r in decontam.clean(table, benchmark).collect()] == [len(wanted)]
+
+
 def test_contamination_query_catches_all_exact_copies(spark):
     got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op4_decontaminate"](spark, SF).collect()}
     docs = [(r.doc_id, f" {' '.join(words_of(r.text))} ") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
