@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity
+from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity, whiten
 from lakespark.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,12 @@ def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "licenses", spans.alias("spans"))
 
 
+@query
+def op13_whiten(spark: SparkSession, sf: str) -> DataFrame:
+    """The first whitened components of every usable embedding."""
+    return whiten.whiten(table(spark, sf, "embeddings"))
+
+
 ORACLES["op5_source_mix"] = f"""
 with d as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size,
