@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity, whiten
+from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity, trie, whiten
 from lakespark.llm.common import crc_of_id, table
+from lakespark.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +118,13 @@ def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "licenses", spans.alias("spans"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt so that families of five may open alike."""
+    turns = settle(trie.numbered(table(spark, sf, "conversations")))
+    return trie.prefix_trie(trie.share_openings(turns), turns.select("conv_id"))
+
+
 @query
 def op13_whiten(spark: SparkSession, sf: str) -> DataFrame:
     """The first whitened components of every usable embedding."""
