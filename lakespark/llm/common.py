@@ -15,7 +15,9 @@ from lakespark.session import configure
 
 #: Rows of one Arrow batch, and bytes of text handled at once inside a task.
 BATCH_ROWS = 2000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Bytes of words that are hashed at once.
+HASHED = 1 << 16
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -152,15 +154,22 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     inner = np.concatenate(([0], np.cumsum(lengths)))
-    place = np.arange(inner[-1]) - np.repeat(inner[:-1], lengths)
-    index = place + np.repeat(starts, lengths)
     keys = mix(_BYTE_KEYS + np.uint64(seed)) if seed else _BYTE_KEYS
-    terms = keys[data[index]] * _POWERS[place & 63]
-    far = place >= 64
-    if far.any():
-        high = place[far] >> 6
-        terms[far] *= _power(_STEP64, high)
-    return mix(np.add.reduceat(terms, inner[:-1]) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    total = np.zeros(len(lengths), np.uint64)
+    # the terms of a word add up, so a block of bytes may end inside one
+    for a in range(0, int(inner[-1]), HASHED):
+        b = min(a + HASHED, int(inner[-1]))
+        first = int(np.searchsorted(inner, a, side="right")) - 1
+        last = int(np.searchsorted(inner, b, side="left"))
+        edges = np.maximum(inner[first:last], a)
+        parts = np.diff(np.append(edges, b))
+        place = np.arange(a, b) - np.repeat(inner[first:last], parts)
+        terms = keys[data[place + np.repeat(starts[first:last], parts)]] * _POWERS[place & 63]
+        far = place >= 64
+        if far.any():
+            terms[far] *= _power(_STEP64, place[far] >> 6)
+        total[first:last] += np.add.reduceat(terms, edges - a)
+    return mix(total + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _power(base: np.uint64, exponents: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, repeats, secrets, toxicity, trie, whiten
+from lakespark.llm import chat, decontam, language, licenses, media, mixing, neardup, quality, repeats, secrets, toxicity, trie, whiten
 from lakespark.llm.common import crc_of_id, table
 from lakespark.session import settle
 
@@ -125,6 +125,20 @@ def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return trie.prefix_trie(trie.share_openings(turns), turns.select("conv_id"))
 
 
+@query
+def op12_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every whole text; labels with crc32 remainder 0 of 5 are never learned from."""
+    docs = table(spark, sf, "documents")
+    model = quality.learn(docs, table(spark, sf, "labels"), crc_of_id() % 5 != 0)
+    found = quality.score(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out(5, 0).alias("held_out"),
+        F.col("quality").alias("score"),
+        (F.col("quality") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op13_whiten(spark: SparkSession, sf: str) -> DataFrame:
     """The first whitened components of every usable embedding."""
