@@ -25,14 +25,15 @@ BLOCKS = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id, source, size (words) and the permutation key ``at`` (0 to 2^60) of every row.
 
-    The key is taken from a digest of id and text, so it does not depend on partitions. A null text has size 0.
+    With ``carry`` also the whole row, as ``row``. The key is taken from a digest of id and text, so it does not depend on partitions. A null text has size 0.
     """
     name = F.concat_ws(":", F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
     at = F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long")
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), at.alias("at"))
+    whole = [F.struct(*docs.columns).alias("row")] if carry else []
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), at.alias("at"), *whole)
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
@@ -157,10 +158,10 @@ def _streams(sized: DataFrame, parts: int) -> DataFrame:
     sums = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), "base")
     running = ranged.withColumn("inner", F.sum("size").over(inside) - F.col("size"))
     joined = running.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    return joined.select("doc_id", "source", "size", "at", (F.col("base") + F.col("inner")).alias("start"))
+    return joined.select(*sized.columns, (F.col("base") + F.col("inner")).alias("start"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, seed: int = 1) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, seed: int = 1, carry: bool = False) -> DataFrame:
     """The drawn mixture: one row for each row of ``docs`` (doc_id, text, source).
 
     Columns: doc_id, source, size (words), source_size, target and ``pieces``, an array of (shard, place,
@@ -168,9 +169,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     The words of a source add up to its target, rounded, at every size of the corpus. A document of more
     than one block may be cut between blocks. Null sources form a source of
     their own, last in order; null and empty texts have size 0 and no pieces. Repeated rows are
-    separate documents. An empty table gives no rows. Equal input and seed give equal pieces.
+    separate documents. An empty table gives no rows. Equal input and seed give equal pieces. With ``carry`` the column ``row``
+    holds all columns of the document.
     """
-    sized = settle(sizes(docs))
+    sized = settle(sizes(docs, carry))
     of_source = settle(targets(sized, weights, share, repeats))
     # two scalars: the words of the corpus, and its rows
     whole = sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.count("*").alias("rows")).first()
@@ -208,7 +210,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         return F.filter(F.transform("runs", of_run), lambda p: p["from_word"] < p["to_word"])
 
     pieces = F.when(F.col("size") > 0, F.flatten(F.transform(rounds, of_round))).otherwise(F.array())
-    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"), *(["row"] if carry else []))
 
 
 def taken(mixed: DataFrame) -> Column:

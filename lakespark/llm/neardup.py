@@ -3,7 +3,8 @@
 A document is the set of its distinct shingles of ``k`` consecutive words. Every permutation
 gives two signature values, the smallest and the largest image of the set, each of which
 agrees between two documents with the probability of their similarity. ``BANDS`` bands
-of ``BAND_VALUES`` values make the keys under which documents meet.
+of ``BAND_VALUES`` values make the keys under which documents meet. On small sets the smallest and the largest
+image are not independent, so those also meet under their first shingles, which misses no pair.
 """
 
 from __future__ import annotations
@@ -12,15 +13,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakespark.llm.common import Words, lists, map_arrow, mix, signed
+from lakespark.llm.common import Words, lists, map_arrow, mix, signed, slices
 from lakespark.llm.graph import components
 from lakespark.session import settle
 
-#: A pair of similarity 0.8 meets in no band with probability (1 - 0.8^6)^40 = 5e-6.
+#: A pair of similarity s meets in no band with probability (1 - s^6)^40: 5e-6 at 0.8, where both sets are large. For a union of
+#: u shingles a smallest and a largest value agree with s (s u - 1)/(u - 1): 7e-6 at 0.8 and 60 shingles.
 BANDS, BAND_VALUES = 40, 6
+#: Sets of up to so many shingles find each other exactly.
+SMALL = 50
 PERMUTATIONS = BANDS * BAND_VALUES // 2
 #: Documents and shingles of one confirmation group.
 GROUP_ROWS, GROUP_SHINGLES = 48, 2_000_000
@@ -72,17 +76,30 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
-def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set (two longs) and its band keys."""
+def prefix_length(n: int, percent: int) -> int:
+    """Of two sets that are linked, so many first shingles (in any one order of all shingles) have one in common."""
+    return n + percent * -n // 100 + 1
+
+
+def first_keys(s: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the first shingles of a sorted small set."""
+    return mix(s[: prefix_length(len(s), percent)] ^ np.uint64(0x5851F42D4C957F2D)) if len(s) <= SMALL else s[:0]
+
+
+def sketch(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, a 128-bit digest of the set (two longs) and the keys under which it meets others."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text"), k)
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype=np.int64)
         filled = [s for s in sets if len(s)]
-        keys = signed(band_keys(filled)).ravel() if filled else np.zeros(0, np.int64)
+        keys = [np.concatenate(pair) for pair in zip(band_keys(filled), (first_keys(s, percent) for s in filled), strict=True)] if filled else []
+        counts = np.zeros(len(sets), np.int64)
+        counts[sizes > 0] = [len(x) for x in keys]
+        keys = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes), pa.array(digests[0::2]), pa.array(digests[1::2]), lists(keys, np.where(sizes > 0, BANDS, 0), pa.int64())],
+            [batch.column("doc_id"), pa.array(sizes), pa.array(digests[0::2]), pa.array(digests[1::2]), lists(keys, counts, pa.int64())],
             ["doc_id", "n_shingles", "hi", "lo", "keys"],
         )
 
@@ -90,8 +107,8 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
-def local_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the sets of one confirmation group."""
+def local_links(sets: list[np.ndarray], percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sets of one confirmation group; sets of one label are linked already."""
     n = len(sets)
     rows = np.repeat(np.arange(n), [len(s) for s in sets])
     values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -111,7 +128,7 @@ def local_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     sizes = np.array([len(s) for s in sets])
     union = sizes[:, None] + sizes[None, :] - common
     linked = (100 * common >= percent * union) & (common > 0)
-    root = np.arange(n)
+    root = np.arange(n) if labels is None else np.unique(labels, return_inverse=True)[1]
     forest = []
     for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
         if root[i] != root[j]:
@@ -121,39 +138,37 @@ def local_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def confirm(groups: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) inside each group (g, h) of rows (g, h, node, text), on whole sets.
+    """Links (a, b) inside each group (g, h) of rows (g, h, node, of, text), on whole sets.
+
+    Nodes of one component ``of`` are linked already; of the others' links only a spanning forest is returned.
 
-    Groups are bounded by the caller. They reach tasks sorted, so a task holds one batch and
-    the rows of the group that continues in the next.
+    Groups are bounded by the caller. They reach tasks sorted, so a task holds the sets of one group and
+    a slice of texts.
     """
 
-    def links(part: pa.Table) -> pa.RecordBatch | None:
-        g, h = part.column("g").to_numpy(), part.column("h").to_numpy()
-        cuts = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (h[1:] != h[:-1]), [True])))
-        nodes = part.column("node").to_numpy()
-        sets = shingle_sets(part.column("text").combine_chunks(), k)
-        found = [(nodes[a + i], nodes[a + j]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for i, j in local_links(sets[a:b], percent)]
+    def links(nodes: list, of: list, sets: list[np.ndarray]) -> pa.RecordBatch | None:
+        found = local_links(sets, percent, of) if len(set(of)) > 1 else []
         if not found:
             return None
-        pairs = np.array(found, dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([nodes[p[side]] for p in found], pa.int64()) for side in (0, 1)], ["a", "b"])
 
     def run(batches):
-        rest = None
+        at, nodes, of, sets = None, [], [], []
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            g, h = t.column("g").to_numpy(), t.column("h").to_numpy()
-            last = int(np.flatnonzero((g != g[-1]) | (h != h[-1])).max(initial=-1)) + 1
-            rest = t.slice(last)
-            if last and (out := links(t.slice(0, last))) is not None:
-                yield out
-        if rest is not None and (out := links(rest)) is not None:
+            for part in slices(batch):
+                keys = zip(part.column("g").to_pylist(), part.column("h").to_pylist(), strict=True)
+                for group, node, label, found in zip(keys, *(part.column(c).to_pylist() for c in ("node", "of")), shingle_sets(part.column("text"), k), strict=True):
+                    if group != at:
+                        if (out := links(nodes, of, sets)) is not None:
+                            yield out
+                        at, nodes, of, sets = group, [], [], []
+                    nodes.append(node)
+                    of.append(label)
+                    sets.append(found)
+        if (out := links(nodes, of, sets)) is not None:
             yield out
 
-    dealt = groups.select("g", "h", "node", "text").repartition("g", "h").sortWithinPartitions("g", "h")
+    dealt = groups.select("g", "h", "node", "of", "text").repartition("g", "h").sortWithinPartitions("g", "h")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -163,6 +178,32 @@ def _parts(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(by).agg(need.cast("long").alias("parts"))
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, n, key) with the keys of equal sets of nodes reduced to one."""
+    lanes = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "node"), 24)).alias(f"s{i}") for i in range(2)]
+    sets = rows.groupBy("key").agg(F.count("*").alias("c"), *lanes)
+    chosen = sets.groupBy("c", "s0", "s1").agg(F.min("key").alias("key"))
+    return rows.join(chosen.select("key"), "key", "left_semi")
+
+
+def rare_keys(nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, n, key): the rarest shingles of each row of ``nodes`` (node, n, text), as many as no linked pair can avoid to share.
+
+    Rarity is that within ``nodes``. Two texts that have only a common form in common share none of them.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column("text"), k)
+        sizes = np.array([len(s) for s in sets])
+        rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
+        return pa.RecordBatch.from_arrays([batch.column("node").take(rows), pa.array(np.repeat(sizes, sizes)), pa.array(signed(np.concatenate(sets)))], ["node", "n", "key"])
+
+    every = settle(map_arrow(nodes.select("node", "text"), run, "node long, n long, key long"))
+    common = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    ordered = every.join(common, "key", "left").withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("c", F.lit(1)), "key")))
+    return ordered.where(F.col("c").isNotNull() & (F.col("nth") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("node", "n", "key")
+
+
 def _part_of(node, parts):
     return F.pmod(F.xxhash64(node, F.lit("part")), parts)
 
@@ -180,10 +221,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     2. Every representative meets, hub by hub, the smallest representative of the band
        that it shares most often; hubs with many partners are split into bounded groups.
     3. Keys under which documents of different components still meet give the remaining
-       candidates. Their groups are compared block by block, so no pair that shares a
-       key stays untested. Only links of a spanning forest leave a task.
+       candidates: first each document in its largest group, then key by key (keys of equal groups once). Documents of keys too large for one group
+       meet under their rarest shingles instead, which loses no link; what is still too large after that is
+       compared block by block. Only links of a spanning forest leave a task.
     """
-    rows = settle(sketch(docs, k))
+    rows = settle(sketch(docs, k, percent))
     copies = settle(
         rows.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.count("*").alias("c")).where("c > 1").drop("c")
     )
@@ -194,47 +236,57 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     nodes = rows.where("n_shingles > 0").join(copies, ["hi", "lo"], "left").where("doc_id = coalesce(node, doc_id)")
     banded = settle(
-        _shared_keys(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")), "node")
+        _shared_keys(nodes.select(F.col("doc_id").cast("long").alias("node"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")), "node")
     )
     stars = banded.where("node <> hub").groupBy("node", "n", "hub").agg(F.count("*").alias("c"))
-    stars = settle(stars.groupBy("node").agg(F.max("n").alias("n"), F.max_by("hub", F.col("c")).alias("hub")))
+    stars = settle(stars.groupBy("node").agg(F.max("n").alias("n"), F.max_by("hub", F.struct("c", "hub")).alias("hub")))
     texts = settle(
-        docs.select(F.col("doc_id").alias("node"), "text").join(banded.select("node").distinct(), "node", "left_semi")
+        docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(banded.select("node").distinct(), "node", "left_semi")
     )
 
     parts = _parts(stars, "hub")
     spokes = stars.join(parts, "hub").select(F.col("hub").alias("g"), _part_of(F.col("node"), F.col("parts")).alias("h"), "node")
     hubs = parts.select(F.col("hub").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("h"), F.col("hub").alias("node"))
-    first = settle(confirm(spokes.union(hubs).join(texts, "node"), k, percent))
-
-    known = components(first)
-    open_rows = (
-        banded.join(known, "node", "left")
-        .select("node", "n", "key", F.coalesce("component", "node").alias("of"))
-    )
-    mixed = settle(_shared_keys(open_rows, "of", "of", "least"))
-    # what is linked already counts as one node of the graph of shared keys
-    groups = components(mixed.where("of <> least").select(F.col("of").alias("a"), F.col("least").alias("b")).distinct())
-    members = mixed.select("node", "n", "of").distinct().join(groups.withColumnRenamed("node", "of"), "of")
-    members = settle(members.select("node", "n", "component"))
-    parts = _parts(members, "component")
-    blocks = members.join(parts, "component").withColumn("block", _part_of(F.col("node"), F.col("parts")))
-    # block i meets block j in group (i, j), i < j; a lone block meets itself
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.col("parts") == 1) | (j != F.col("block"))))
-    pairs = blocks.select("node", F.col("component").alias("g"), "parts", "block", other.alias("other")).select(
-        "node", "g", (F.least("block", "other") * F.col("parts") + F.greatest("block", "other")).alias("h")
-    )
-    second = settle(confirm(pairs.join(texts, "node"), k, percent))
+    first = settle(confirm(spokes.union(hubs).withColumn("of", F.col("node")).join(texts, "node"), k, percent))
+
+    left = _open_keys(banded, components(first))
+    # every node once, in a part of its largest group: what is alike in a crowd mostly comes together here
+    sized = left.join(left.groupBy("key").agg(F.count("*").alias("size")), "key")
+    crowd = settle(sized.groupBy("node", "n", "of").agg(F.max(F.struct("size", "key"))["key"].alias("key")))
+    dealt = crowd.join(_parts(crowd, "key"), "key").select("node", "of", F.col("key").alias("g"), _part_of(F.col("node"), F.col("parts")).alias("h"))
+    found = first.union(settle(confirm(dealt.join(texts, "node"), k, percent)))
+
+    left = _open_keys(left.drop("of"), components(found))
+    large = _parts(left, "key").where("parts > 1").select("key")
+    small = _once(left.join(large, "key", "left_anti"))
+    found = found.union(settle(confirm(small.select("node", "of", F.col("key").alias("g"), F.lit(0).alias("h")).join(texts, "node"), k, percent)))
+
+    crowded = settle(left.join(large, "key", "left_semi").select("node").distinct())
+    if not crowded.isEmpty():
+        rare = settle(_once(_open_keys(rare_keys(texts.join(crowded, "node", "left_semi"), k, percent), components(found))))
+        blocks = rare.join(_parts(rare, "key"), "key").withColumn("block", _part_of(F.col("node"), F.col("parts")))
+        # block i meets block j in group (i, j), i < j; a lone block meets itself
+        other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.col("parts") == 1) | (j != F.col("block"))))
+        pairs = blocks.select("node", "of", F.col("key").alias("g"), "parts", "block", other.alias("other")).select(
+            "node", "of", "g", (F.least("block", "other") * F.col("parts") + F.greatest("block", "other")).alias("h")
+        )
+        found = found.union(settle(confirm(pairs.join(texts, "node"), k, percent)))
 
-    final = components(first.union(second))
+    final = components(found)
     return placed.join(final, "node", "left").select(
         "doc_id",
         "n_shingles",
-        F.coalesce("component", "node").alias("component_id"),
+        F.coalesce("component", "node").cast(docs.schema["doc_id"].dataType).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "node"), F.coalesce("component", "node").isNull()).alias("kept"),
     )
 
 
+def _open_keys(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows (node, n, key, of) of keys under which nodes of different components still meet; ``of`` is the component."""
+    of = F.coalesce("component", "node").alias("of")
+    return settle(_shared_keys(rows.join(known, "node", "left").select("node", "n", "key", of), "of", "of").select("node", "n", "key", "of"))
+
+
 def _shared_keys(rows: DataFrame, by: str, *more: str) -> DataFrame:
     """Rows (node, n, hub, ...) of keys that hold several values of ``by``, with the key's smallest node as hub."""
     shared = rows.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most"), F.min("node").alias("hub")).where("least < most")

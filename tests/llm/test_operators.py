@@ -421,6 +421,33 @@ def test_neardup_chains_and_large_groups(spark):
     assert got == brute_groups(rows, 4)
 
 
+def test_neardup_small_sets_exactly(spark):
+    """Sets of 5 and 4 of which 4 are common: exactly 0.8, where the smallest and the largest value are far from independent."""
+    rows = []
+    for i in range(800):
+        words = [f"w{i}x{j}" for j in range(8)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:7]))]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()}
+    assert all(got[2 * i + 1] == 2 * i for i in range(800))
+
+
+def test_neardup_family_with_a_common_form(spark):
+    """Documents that share half of their shingles meet under many keys; the work stays in proportion, and links among them are found."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    form = [word() for _ in range(110)]
+    rows = []
+    for i in range(0, 600, 2):
+        own = [word() for _ in range(44)]
+        edited = [*own[:40], *(word() for _ in range(4))]
+        rows += [(i, " ".join(form + own)), (i + 1, " ".join(form + (edited if i % 20 == 0 else [word() for _ in range(44)])))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()}
+    assert got == brute_groups(rows, 4)
+    crowd = spark.createDataFrame([(i, len(t.split()) - 3, t) for i, t in rows], "node long, n long, text string")
+    keys = neardup.rare_keys(crowd, 4, 80)
+    assert keys.groupBy("key").count().agg({"count": "max"}).head()[0] <= 4
+
+
 def test_neardup_odd_rows(edges, nothing):
     rows = neardup.near_duplicates(edges, k=5).collect()
     assert len(rows) == 10
