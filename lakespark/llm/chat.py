@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakespark.llm.common import flat, lists, strings
+from lakespark.llm.common import flat, lists, slices, strings
 
 HEAD, AFTER_ROLE, END = b"### ", b": ", b"</turn>\n"
 LEARNED_ROLE = "assistant"
@@ -102,18 +102,21 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([ids.take(pa.array(first[:-1])), *columns], ["conv_id", "formatted", "loss_starts", "loss_ends"])
 
     def run(batches):
-        rest = None
+        rest = []  # parts of the conversation that may go on in the next one
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            last = int(_starts(t.column("conv_id").combine_chunks())[-1])
-            rest = t.slice(last)
-            if last:
-                yield build(t.slice(0, last))
-        if rest is not None:
-            yield build(rest)
+            for part in slices(batch):
+                starts = _starts(part.column("conv_id"))
+                if rest and rest[-1].column("conv_id")[-1].as_py() == part.column("conv_id")[0].as_py():
+                    starts = starts[1:]
+                if len(starts):
+                    head = [*rest, *([part.slice(0, int(starts[-1]))] if starts[-1] else [])]
+                    if head:
+                        yield build(pa.Table.from_batches(head))
+                    rest = [part.slice(int(starts[-1]))]
+                else:
+                    rest.append(part)
+        if rest:
+            yield build(pa.Table.from_batches(rest))
 
     kind = turns.schema["conv_id"].dataType.simpleString()
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -130,7 +133,8 @@ def _starts(ids: pa.Array) -> np.ndarray:
     return np.concatenate(([0], 1 + np.flatnonzero(~same)))
 
 
-_TURN = re.compile(r"### ((?:\\[A-Z])?(?:[^\\#<:]|[\\#<:]\\)*): ((?:[^\\#<]|[\\#<]\\)*)</turn>\n", re.S)
+# possessive: nothing is kept to go back to, however long a turn
+_TURN = re.compile(r"### ((?:\\[A-Z])?(?:[^\\#<:]++|[\\#<:]\\)*+): ((?:[^\\#<]++|[\\#<]\\)*+)</turn>\n", re.S)
 _IN_TEXTS, _IN_ROLES = re.compile(r"([\\#<])\\"), re.compile(r"([\\#<:])\\")
 
 

@@ -101,11 +101,11 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What every document loses to units that stood earlier: counts, and spans in code points."""
-    docs = table(spark, sf, "documents").select("doc_id")
+    docs = table(spark, sf, "documents").select("doc_id", repeats.text_key().alias("text_key"))
     lost = repeats.repeated_spans(table(spark, sf, "documents"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     none = F.lit(0).cast("long")
-    return docs.join(lost, "doc_id", "left").select(
+    return docs.join(lost, ["doc_id", "text_key"], "left").select(
         "doc_id", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("removed_words", none).alias("removed_words"), F.coalesce(spans, F.lit("")).alias("spans")
     )
 

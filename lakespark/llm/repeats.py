@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakespark.llm.common import Words, _power, map_arrow, mix, signed
@@ -58,30 +58,37 @@ def units(column: pa.Array) -> dict[str, np.ndarray]:
 _UNIT = "number long, start long, end long, words long, hi long, lo long, again boolean"
 
 
+def text_key() -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.lit("text"), F.col("text"))
+
+
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, n_removed (units), removed_words and spans, an array of (start, end) in code points.
+    """doc_id, text_key, n_removed (units), removed_words and spans, an array of (start, end) in code points.
 
-    One row for each doc_id of ``docs`` (doc_id, text) that loses something. Neighbouring repeated units
+    One row for each text of each doc_id of ``docs`` (doc_id, text) that loses something. Neighbouring repeated units
     of a document make a stretch; it goes if it has at least ``least_words`` words, so that a
     short phrase which many texts share stays. Rows of one doc_id count as one document, and are not
-    repeats of each other; rows with a null doc_id, and null, empty or blank texts, have no spans.
+    repeats of each other, but spans are those of each text; rows with a null doc_id, and null, empty or blank texts, have no spans.
     """
     names = [part.split()[0] for part in _UNIT.split(", ")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = units(batch.column("text"))
-        columns = [batch.column("doc_id").take(pa.array(found["row"])), *(pa.array(found[n]) for n in names)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", *names])
+        row = pa.array(found["row"])
+        columns = [*(batch.column(c).take(row) for c in ("doc_id", "text_key")), *(pa.array(found[n]) for n in names)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", "text")
-    every = settle(map_arrow(known, run, f"doc_id {kind}, {_UNIT}"))
+    known = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", text_key().alias("text_key"), "text")
+    every = settle(map_arrow(known, run, f"doc_id {kind}, text_key long, {_UNIT}"))
     earliest = settle(
         every.where("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").select("hi", "lo", "first_id")
     )
     later = every.where("not again").join(earliest, ["hi", "lo"]).where("doc_id > first_id")
-    repeated = later.select("doc_id", "number", "start", "end", "words").union(every.where("again").select("doc_id", "number", "start", "end", "words"))
-    per_doc = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("number", "start", "end", "words"))).alias("units"))
+    shown = ["doc_id", "text_key", "number", "start", "end", "words"]
+    repeated = later.select(*shown).union(every.where("again").select(*shown))
+    per_doc = repeated.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("number", "start", "end", "words"))).alias("units"))
     return _stretches(per_doc, kind, least_words)
 
 
@@ -107,16 +114,17 @@ def _stretches(per_doc: DataFrame, kind: str, least_words: int) -> DataFrame:
             lost = np.bincount(of, total[good], len(size)).astype(np.int64)
             pairs = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(end[last])], ["start", "end"])
             spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pairs)
-            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(removed), pa.array(lost), spans], ["doc_id", "n_removed", "removed_words", "spans"])
+            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(removed), pa.array(lost), spans], ["doc_id", "text_key", "n_removed", "removed_words", "spans"])
             yield out.filter(pa.array(n > 0))
 
-    return per_doc.mapInArrow(run, f"doc_id {kind}, n_removed long, removed_words long, spans array<struct<start: bigint, end: bigint>>")
+    return per_doc.mapInArrow(run, f"doc_id {kind}, text_key long, n_removed long, removed_words long, spans array<struct<start: bigint, end: bigint>>")
 
 
 def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the repeated stretches cut out of ``text``; other columns and rows stay as they are."""
-    found = repeated_spans(docs, least_words).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(found, docs["doc_id"] == F.col("_id"), "left").drop("_id")
+    found = repeated_spans(docs, least_words).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
+    row = F.struct(*docs.columns).alias("_row")
+    joined = docs.select("doc_id", "text", row).join(found, (F.col("doc_id") == F.col("_id")) & (text_key() == F.col("_key")), "left").select("text", "_row", "_spans")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -127,4 +135,5 @@ def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
             out.append(text)
         return batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 
-    return map_arrow(joined, run, joined.schema).drop("_spans")
+    cut = map_arrow(joined, run, joined.schema)
+    return cut.select(*(F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns))

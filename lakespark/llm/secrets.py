@@ -125,9 +125,14 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(start, end, band, bin) of tokens to test, none of which overlaps a base span."""
     out = []
+    at, reach = 0, 0
     for m in _TOKEN.finditer(text):
+        # both lists are in order: of the base spans that start before the token ends, the furthest end decides
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
         token = m[0]
-        if _DIGIT.search(token) and _LETTER.search(token) and not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+        if reach <= m.start() and _DIGIT.search(token) and _LETTER.search(token):
             out.append((m.start(), m.end(), band(len(token)), bin_of(randomness(token))))
     return out
 

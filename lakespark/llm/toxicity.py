@@ -15,33 +15,36 @@ from pyspark.sql import functions as F
 from lakespark.llm import recurrent as rn
 from lakespark.llm.common import PUNCTUATION, Words, map_arrow
 
-UNITS, LETTERS = 6, 6
+UNITS, LETTERS = 8, 8
 #: Words of a window, and words from one window to the next.
 WINDOW, STRIDE = 32, 16
-#: Bounds of the training sample: documents of each label, and characters of a document.
-SAMPLE, SAMPLE_CHARS = 1500, 5000
+#: Bounds of the training sample: documents of each label, and characters of the passage taken of a clean and of a toxic one.
+SAMPLE, PASSAGE = 1500, (5000, 60_000)
+#: Folds of the sample: the log-odds that a document is trained with are counted without its own fold.
+FOLDS = 5
 #: Documents of the sample that must hold a word of the vocabulary.
 SEEN = 10
 #: Documents that are added to both labels before the log-odds of a word.
 PRIOR = 8
 TRIPLES = 4096
-SLOTS = 1 << 18
-STEPS, DOCS = 220, 24
-LONGEST = 24
+STEPS, DOCS = 320, 32
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
     """(text, toxic) of at most SAMPLE documents of each label, by the order of a hash.
 
-    Only ids travel before the bound is reached. Null labels, ids and texts stay out, and so do texts
-    of more than SAMPLE_CHARS characters; a text that occurs repeatedly is taken once.
+    Only ids travel before the bound is reached. Null labels, ids and texts stay out. Of a text longer than PASSAGE
+    a passage of that length at a hashed place is taken; a text that occurs repeatedly is taken once.
     """
     key = F.xxhash64(F.col("doc_id"), F.lit("toxicity sample"))
     marked = labels.where(allowed & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"), key.alias("key"))
-    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
+    known = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     picked = [marked.where(F.col("toxic") == y).orderBy("key", "doc_id").limit(SAMPLE) for y in (0, 1)]
     # at most 2 * SAMPLE ids
-    return short.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("key", "toxic", "text")
+    found = known.join(F.broadcast(picked[0].union(picked[1])), "doc_id")
+    size = F.when(F.col("toxic") == 1, PASSAGE[1]).otherwise(PASSAGE[0])
+    start = F.pmod(F.xxhash64("key", F.lit("passage")), F.greatest(F.length("text") - size + 1, F.lit(1))) + 1
+    return found.select("key", "toxic", F.when(F.length("text") > size, F.substring("text", start.cast("int"), size)).otherwise(F.col("text")).alias("text"))
 
 
 def _letters(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,18 +60,16 @@ def _letters(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _vocabulary(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Open slots by hash: the word hash and the number (from 1) in each; words that share a slot lose the later one."""
-    keys, ids = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
-    for n, h in enumerate(hashes, 1):
-        slot = int(h) & (SLOTS - 1)
-        if not ids[slot]:
-            keys[slot], ids[slot] = h, n
-    return keys, ids
+    """The sorted word hashes and the number (from 1) of each."""
+    order = np.argsort(hashes)
+    return hashes[order], (order + 1).astype(np.int32)
 
 
 def _numbers(model: dict, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes & np.uint64(SLOTS - 1)).astype(np.intp)
-    return np.where(model["keys"][slot] == hashes, model["ids"][slot], 0)
+    if not len(model["keys"]):
+        return np.zeros(len(hashes), np.int32)
+    at = np.minimum(np.searchsorted(model["keys"], hashes), len(model["keys"]) - 1)
+    return np.where(model["keys"][at] == hashes, model["ids"][at], 0)
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,11 +97,21 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
     in_text = np.repeat(np.arange(len(texts)), np.diff(first))
     pairs = np.unique(np.stack((hashes, in_text.astype(np.uint64)), axis=1), axis=0)
     vocabulary, at, seen = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
-    bad = np.bincount(at, y[pairs[:, 1].astype(int)], len(vocabulary))
-    odds = np.log((bad + PRIOR) / (y.sum() + 2 * PRIOR)) - np.log((seen - bad + PRIOR) / ((1 - y).sum() + 2 * PRIOR))
+    doc = pairs[:, 1].astype(int)
+    fold = rng.integers(0, FOLDS, len(texts))
+
+    def log_odds(use: np.ndarray) -> np.ndarray:
+        """Of every word, counted over the documents ``use``."""
+        counted = use[doc]
+        bad, have = np.bincount(at, y[doc] * counted, len(vocabulary)), np.bincount(at, counted, len(vocabulary))
+        return np.log((bad + PRIOR) / ((y * use).sum() + 2 * PRIOR)) - np.log((have - bad + PRIOR) / (((1 - y) * use).sum() + 2 * PRIOR))
+
     common = np.argsort(-seen, kind="stable")[: int((seen >= SEEN).sum())]
     model: dict = dict(zip(("keys", "ids"), _vocabulary(vocabulary[common]), strict=True))
-    strength = np.concatenate(([0.0], odds[common])).astype(np.float32)
+    every = [log_odds(np.ones(len(texts))), *(log_odds((fold != f).astype(float)) for f in range(FOLDS))]
+    # the first row serves scoring, the others the documents of each fold
+    strengths = np.array([np.concatenate(([0.0], x[common])) for x in every], dtype=np.float32)
+    strength = strengths[0]
 
     n = UNITS
     params = {"words": 0.01 * rn.scaled(rng, 1, len(strength) * 3 * n).reshape(-1, 3 * n), "odds": 0.3 * rn.scaled(rng, 1, 3 * n)}
@@ -142,13 +153,14 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
         alone = [int(rng.integers(first[d], first[d + 1])) for d in rng.choice(kinds[0], DOCS // 4)]
         goal += [0.0] * len(alone)
         g = np.concatenate((grid[chosen], np.repeat(np.array(alone)[:, None], WINDOW, axis=1))).T
-        place = np.arange(LONGEST)
+        place = np.arange(int(lengths[g].max(initial=1)))
         tri = np.where(place < lengths[g][..., None], triple[np.minimum(inner[g][..., None] + place, len(triple) - 1)], TRIPLES)
         ids = number[g]
+        odds = strengths[1 + fold[np.concatenate((row[chosen], in_text[alone])).astype(int)], ids]
         weight = (tri < TRIPLES).astype(np.float32)
         weight /= np.maximum(weight.sum(axis=2, keepdims=True), 1)
         mean = np.einsum("tbld,tbl->tbd", params["triples"][tri], weight)
-        gates = params["words"][ids] + strength[ids][..., None] * params["odds"][0] + mean @ params["letters"]
+        gates = params["words"][ids] + odds[..., None] * params["odds"][0] + mean @ params["letters"]
         used = g < len(hashes)
         gates *= used[..., None]
         out, kept = {}, {}
@@ -174,7 +186,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 11) -> dict | None:
         grads["words"] = np.zeros_like(params["words"])
         np.add.at(grads["words"], ids.ravel(), dg.reshape(-1, 3 * n))
         grads["words"][0] = 0
-        grads["odds"] = (strength[ids][..., None] * dg).sum(axis=(0, 1))[None]
+        grads["odds"] = (odds[..., None] * dg).sum(axis=(0, 1))[None]
         grads["letters"] = np.einsum("tbd,tbg->dg", mean, dg)
         grads["triples"] = np.zeros_like(params["triples"])
         np.add.at(grads["triples"], tri.ravel(), ((dg @ params["letters"].T)[:, :, None, :] * weight[..., None]).reshape(-1, LETTERS))

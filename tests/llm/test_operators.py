@@ -164,6 +164,28 @@ def test_chat_equals_its_sql(spark):
     assert differences(df, connect(SF), queries.ORACLES["op3_chat_format"]) is None
 
 
+def test_chat_parses_long_turns_without_going_back():
+    import tracemalloc
+
+    text = "a" * 4_000_000 + "\\#<"
+    written = "### User: " + re.sub(r"([\\#<])", r"\1\\", text) + "</turn>\n"
+    tracemalloc.start()
+    assert chat.parse(written) == [("user", text)]
+    assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    tracemalloc.stop()
+
+
+def test_chat_conversation_over_many_batches(spark):
+    """A conversation longer than a slice, and its neighbours."""
+    rows = [(c, t, "user" if t % 2 else "assistant", f"{c}:{t} " * 3000) for c in (1, 2, 3) for t in range(60 if c == 2 else 2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_conversations(df)).collect()}
+    for c in (1, 2, 3):
+        turns = [(r, x) for i, _, r, x in rows if i == c]
+        assert got[c].n_turns == len(turns)
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+
+
 def test_chat_odd_rows(spark):
     rows = [
         (1, 0, "user", None), (1, 1, None, "</turn>\n### Assistant: x"), (1, None, "assistant", "\\"), (None, 0, "assistant", "é😀#<"),
@@ -515,6 +537,15 @@ def test_repeats_query(spark):
     assert {i: s for i, s in got.items() if s} == want
 
 
+def test_repeats_of_one_doc_id_with_different_texts(spark):
+    """Spans are those of each text, also where two rows have one doc_id."""
+    said = "This sentence of more than ten words stands in the first text and in another one."
+    other = "A wholly different text that repeats nothing at all, from anywhere at all, ever."
+    df = spark.createDataFrame([(1, said), (2, f"Own words come first here. {said}"), (2, other)], "doc_id long, text string")
+    out = sorted((r.doc_id, r.text) for r in repeats.remove_repeats(df).collect())
+    assert out == sorted([(1, said), (2, "Own words come first here. "), (2, other)])
+
+
 def test_repeats_odd_rows(edges, nothing):
     out = {r.doc_id: r for r in repeats.repeated_spans(edges).collect()}
     assert set(out) == {8}
@@ -548,6 +579,19 @@ def test_secret_query(spark):
         assert set(filter(None, spelled.split(","))) <= set(r.spans.split(","))
 
 
+def test_many_tokens_and_spans_take_linear_time():
+    import time
+
+    text = " ".join(hashlib.md5(str(i).encode()).hexdigest() if i % 2 else f"Zq{i:06d}xYwVuTsRqPoNm" for i in range(20_000))
+    start = time.process_time()
+    base = secrets.base_spans(text)
+    found = secrets.candidates(text, base)
+    assert time.process_time() - start < 10
+    assert len(base) == len(found) == 10_000
+    spans = [(s, e) for s, _, e, _ in base]
+    assert all(not any(a < e and s < b for a, b in spans[max(0, i - 2) : i + 3]) for i, (s, e, *_) in enumerate(found))
+
+
 def test_battery_tells_random_from_structured():
     rng = random.Random(5)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
