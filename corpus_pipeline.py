@@ -27,10 +27,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest doc_id of each group of near duplicates (five words, 0.8).
 
-    Rows of one doc_id are one document, of which one row stays; rows without a doc_id cannot be told apart, and stay.
+    Rows that agree in doc_id and text are one row; rows of one doc_id with different texts all stay or go
+    together. Rows without a doc_id cannot be told apart, and stay.
     """
     found = neardup.near_duplicates(docs, k=5, percent=80).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(found, docs["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(found, docs["doc_id"] == F.col("_id"), "left_semi")
+    named = named.withColumn("_digest", F.sha2("text", 256)).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
     return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
@@ -45,9 +47,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The drawn mixture of the sources: the words taken of every document, and where its pieces go."""
-    mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "source", "size", "source_size", "target", mixing.taken(mixed).alias("taken"), "pieces")
+    """The drawn mixture of the sources: all columns of the documents, the words taken of each, and where its pieces go."""
+    mixed = mixing.mix(docs, carry=True)
+    added = ("size", "source_size", "target", "pieces")
+    # a document's own column of such a name gives way
+    own = (F.col("row").getField(c).alias(c) for c in docs.columns if c not in (*added, "taken"))
+    return mixed.select(*own, *added, mixing.taken(mixed).alias("taken"))
 
 
 STAGES = [

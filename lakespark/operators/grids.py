@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from lakespark.functions import geo
 from lakespark.functions.bands import export_names
-from lakespark.operators.membership import CELL_DEG, _accepts, polygon_cells
+from lakespark.operators import cover
+from lakespark.operators.membership import CELL_DEG, polygon_pieces
 from lakespark.operators.nearest import (
     dedupe_targets,
     same_lake_nearest,
@@ -383,26 +384,49 @@ def occupied_chunks(indexed: DataFrame, grid: DataFrame, keys: Sequence[str] = (
 # --- target cells ---------------------------------------------------------------------------
 
 
-def _cells_in(scene_lakes, grid, pieces, cell, x_of, y_of, row_span, col_span) -> DataFrame:
-    """Grid cells whose centre lies strictly inside a lake, one polygon piece at a time."""
+#: Parts into which the pieces of one lake are dealt before they meet its scenes.
+SALTS = 16
+
+
+def _cut(pieces: DataFrame, region: DataFrame, cell: float) -> DataFrame:
+    """Pieces reduced to the stretches of their rows that a region comes near, with its piece as ``clip``."""
+    area = cover.pieces(cover.edge_rows(region.select("polygons").withColumn("_r", F.monotonically_increasing_id()), ["_r"]), ["_r"], cell)
+    area = area.select("cy", F.struct(F.col("odd"), F.col("edges")).alias("clip"), F.col("x0").alias("r0"), F.col("x1").alias("r1"))
+    met = pieces.join(area, "cy").where((F.col("r0") <= F.col("x1")) & (F.col("x0") <= F.col("r1")))
+    return met.withColumns({"x0": F.greatest("x0", "r0"), "x1": F.least("x1", "r1")}).drop("r0", "r1")
+
+
+def _cells_in(scene_lakes, grid, pieces, cell, x_of, y_of, row_span, col_span, erode_m: float = 0.0) -> DataFrame:
+    """Grid cells whose centre lies strictly inside a lake, piece by piece.
+
+    The pieces of a lake are dealt into parts, each of which meets all its scenes, so that neither a lake of very
+    many pieces nor one of very many scenes is one task's work.
+    """
     # pieces are small but each becomes many cells: spread them by number, so that the
     # exchange is not coalesced by its size
     tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.withColumnRenamed("id", "Hylak_id").withColumn("_salt", F.pmod(F.hash("cy", "x0"), F.lit(SALTS)))
+    wanted = scene_lakes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    cx, cy = cover.cell_of(F.col("_x"), cell), F.col("cy")
     rows = (
-        scene_lakes.join(pieces.withColumnRenamed("id", "Hylak_id"), "Hylak_id")
+        wanted.join(dealt, ["Hylak_id", "_salt"])
         .join(grid, "scene_id")
-        .repartition(tasks, "scene_id", "Hylak_id", "cx", "cy")
+        .repartition(tasks, "scene_id", "Hylak_id", "cy", "x0")
         .withColumn("row", F.explode(row_span))
         .withColumn("_y", y_of)
         .where((F.col("row") >= 0) & (F.col("row") < F.col("ny")))
-        .where(geo.floor_cell(F.col("_y"), cell) == F.col("cy"))
+        .where(cover.cell_of(F.col("_y"), cell) == cy)
         .withColumn("col", F.explode(col_span))
         .withColumn("_x", x_of)
         .where((F.col("col") >= 0) & (F.col("col") < F.col("nx")))
-        .where(geo.floor_cell(F.col("_x"), cell) == F.col("cx"))
+        .where(cx.between(F.col("x0"), F.col("x1")))
     )
-    entry = F.struct("whole", "band", "near")
-    return rows.withColumn("_entry", entry)
+
+    def inside(piece, pad: float) -> Column:
+        return (F.size(piece["edges"]) == 0) | cover.holds(piece, cx, cy, cell, F.col("_x"), F.col("_y"), pad)
+
+    kept = rows.where(inside({"odd": F.col("odd"), "edges": F.col("edges")}, erode_m))
+    return kept.where(inside(F.col("clip"), 0.0)) if "clip" in pieces.columns else kept
 
 
 def lake_target_cells(
@@ -411,36 +435,33 @@ def lake_target_cells(
     grid: DataFrame,
     erode_m: float = 0.0,
     cell: float = CELL_DEG,
+    region: DataFrame | None = None,
 ) -> DataFrame:
-    """Cells of the geographic grid whose centre is strictly inside each lake.
+    """Cells of the geographic grid whose centre is strictly inside each lake, and inside ``region`` if there is one.
 
     ``scene_lakes`` lists (scene_id, Hylak_id). Cells are generated inside the
-    pieces a lake is cut into, never over its whole bounding box.
+    pieces a lake is cut into, never over its whole bounding box. ``region``: rows with polygons, any of which counts.
     """
-    c = F.lit(cell)
-    lo_r = F.floor((F.col("cy") * c - F.col("south")) / F.col("dlat") - 0.5).cast("long")
-    hi_r = F.ceil(((F.col("cy") + 1) * c - F.col("south")) / F.col("dlat") - 0.5).cast("long")
-    lo_c = F.floor((F.col("cx") * c - F.col("west")) / F.col("dlon") - 0.5).cast("long")
-    hi_c = F.ceil(((F.col("cx") + 1) * c - F.col("west")) / F.col("dlon") - 0.5).cast("long")
+    lo_r = F.floor((cover.low_side(F.col("cy"), cell) - F.col("south")) / F.col("dlat") - 0.5).cast("long")
+    hi_r = F.ceil((cover.low_side(F.col("cy") + 1, cell) - F.col("south")) / F.col("dlat") - 0.5).cast("long")
+    lo_c = F.floor((cover.low_side(F.col("x0"), cell) - F.col("west")) / F.col("dlon") - 0.5).cast("long")
+    hi_c = F.ceil((cover.low_side(F.col("x1") + 1, cell) - F.col("west")) / F.col("dlon") - 0.5).cast("long")
     g = grid.select("scene_id", "west", "south", "dlat", "dlon", "nx", "ny")
+    pieces = polygon_pieces(lakes, cell, erode_m)
     rows = _cells_in(
         scene_lakes,
         g,
-        polygon_cells(lakes, cell, erode_m),
+        pieces if region is None else _cut(pieces, region, cell),
         cell,
         F.col("west") + (F.col("col") + 0.5) * F.col("dlon"),
         F.col("south") + (F.col("row") + 0.5) * F.col("dlat"),
         F.sequence(lo_r, hi_r),
         F.sequence(lo_c, hi_c),
+        erode_m,
     )
-    return rows.where(_accepts(F.col("_entry"), F.col("_x"), F.col("_y"), erode_m)).select(
-        "scene_id",
-        "Hylak_id",
-        "row",
-        "col",
-        F.col("_y").alias("latitude"),
-        F.col("_x").alias("longitude"),
-    )
+    found = rows.select("scene_id", "Hylak_id", "row", "col", F.col("_y").alias("latitude"), F.col("_x").alias("longitude"))
+    # overlapping polygons of a region give a cell more than once
+    return found if region is None else found.distinct()
 
 
 def mercator_polygons(lakes: DataFrame) -> DataFrame:
@@ -458,25 +479,23 @@ def lake_target_cells_mercator(
     scene_lakes: DataFrame, lakes: DataFrame, grid: DataFrame, cell: float = 1000.0
 ) -> DataFrame:
     """As `lake_target_cells` on the Mercator grid; rows count from the north."""
-    c, res = F.lit(cell), F.col("resolution_m")
-    lo_r = F.floor((F.col("ymax") - (F.col("cy") + 1) * c) / res - 0.5).cast("long")
-    hi_r = F.ceil((F.col("ymax") - F.col("cy") * c) / res - 0.5).cast("long")
-    lo_c = F.floor((F.col("cx") * c - F.col("xmin")) / res - 0.5).cast("long")
-    hi_c = F.ceil(((F.col("cx") + 1) * c - F.col("xmin")) / res - 0.5).cast("long")
+    res = F.col("resolution_m")
+    lo_r = F.floor((F.col("ymax") - cover.low_side(F.col("cy") + 1, cell)) / res - 0.5).cast("long")
+    hi_r = F.ceil((F.col("ymax") - cover.low_side(F.col("cy"), cell)) / res - 0.5).cast("long")
+    lo_c = F.floor((cover.low_side(F.col("x0"), cell) - F.col("xmin")) / res - 0.5).cast("long")
+    hi_c = F.ceil((cover.low_side(F.col("x1") + 1, cell) - F.col("xmin")) / res - 0.5).cast("long")
     g = grid.select("scene_id", "xmin", "ymax", "resolution_m", "nx", "ny")
     rows = _cells_in(
         scene_lakes,
         g,
-        polygon_cells(mercator_polygons(lakes), cell),
+        polygon_pieces(mercator_polygons(lakes), cell),
         cell,
         F.col("xmin") + (F.col("col") + 0.5) * res,
         F.col("ymax") - (F.col("row") + 0.5) * res,
         F.sequence(lo_r, hi_r),
         F.sequence(lo_c, hi_c),
     )
-    return rows.where(_accepts(F.col("_entry"), F.col("_x"), F.col("_y"), 0.0)).select(
-        "scene_id", "Hylak_id", "row", "col", F.col("_x").alias("x"), F.col("_y").alias("y")
-    )
+    return rows.select("scene_id", "Hylak_id", "row", "col", F.col("_x").alias("x"), F.col("_y").alias("y"))
 
 
 def scene_lake_pairs(native: DataFrame) -> DataFrame:

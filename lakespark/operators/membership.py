@@ -1,9 +1,7 @@
 """Point-in-polygon and polygon-intersection joins.
 
-Catalyst has no spatial join, so both sides are given equi-join keys. Polygons are
-cut into square cells. A cell that no polygon edge comes near is either dropped or
-kept as *whole*, and its points need no test; a cell on a boundary carries only
-the edges of its own latitude band. Points are matched by the cell that holds them.
+Catalyst has no spatial join, so both sides are given equi-join keys: polygons are covered by grid
+cells (see `cover`), and points are matched by the cell that holds them.
 """
 
 from __future__ import annotations
@@ -14,105 +12,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakespark.functions import geo
-from lakespark.functions.geo import METRES_PER_DEGREE
+from lakespark.operators import cover
 
 CELL_DEG = 0.01
-PAIR_CELL_DEG = (0.1, 2.0)
+#: Least and largest cell in which edges of two kinds of polygons meet.
+PAIR_CELL_DEG = (0.001, 2.0)
 LAKES_PER_ROW = 64
 BROADCAST_BYTES = 64 << 20
 
 
-def _cell_range(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(geo.floor_cell(lo, size), geo.floor_cell(hi, size))
-
-
-def polygon_cells(
+def polygon_pieces(
     lakes: DataFrame,
     cell: float = CELL_DEG,
     erode_m: float = 0.0,
     id_col: str = "Hylak_id",
     order_col: str | None = "lake_order",
 ) -> DataFrame:
-    """Cells that a polygon touches: (cx, cy, id, order, whole, band, near).
-
-    ``band`` holds the edges of the cell's latitude band from its west side
-    eastwards (enough for an even-odd ray), ``near`` the edges that may lie within
-    ``erode_m`` of a point of the cell. Both are empty when the cell is whole.
-    """
+    """The cover of every lake: id, ord, cy, x0, x1, odd and edges (see `cover.pieces`)."""
     order = F.col(order_col) if order_col else F.lit(0).cast("long")
-    base = lakes.where(F.col("polygons").isNotNull()).select(
-        F.col(id_col).alias("id"), order.alias("ord"), "polygons"
-    )
-    edges = base.select("id", F.explode(geo.polygon_edges(F.col("polygons"))).alias("e"))
-    south, north = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    pad_y = F.lit(erode_m / METRES_PER_DEGREE * 1.01)
-    bands = (
-        edges.select("id", "e", F.explode(_cell_range(south - pad_y, north + pad_y, cell)).alias("cy"))
-        .groupBy("id", "cy")
-        .agg(F.collect_list("e").alias("edges"))
-    )
-    box = geo.polygon_bounds(F.col("polygons"))
-    cells = (
-        base.select("id", "ord", box.alias("b"))
-        .select(
-            "id",
-            "ord",
-            F.col("b.w").alias("w"),
-            F.col("b.e").alias("e"),
-            F.explode(_cell_range(F.col("b.s"), F.col("b.n"), cell)).alias("cy"),
-        )
-        .join(bands, ["id", "cy"], "left")
-        .withColumn("cx", F.explode(_cell_range(F.col("w"), F.col("e"), cell)))
-    )
-    west, low = F.col("cx") * F.lit(cell), F.col("cy") * F.lit(cell)
-    east, high = west + F.lit(cell), low + F.lit(cell)
-    # room for rounding in floor() and, when eroding, for the distance itself
-    slack = cell * 1e-6
-    widest = F.greatest(F.cos(F.radians(F.least(F.greatest(F.abs(low), F.abs(high)) + 1, F.lit(89.0)))), F.lit(0.01))
-    pad_x = F.lit(erode_m / METRES_PER_DEGREE * 1.01) / widest + F.lit(slack)
-    pad_v = pad_y + F.lit(slack)
-
-    def close(e):
-        return (
-            (F.greatest(e.x1, e.x2) >= west - pad_x)
-            & (F.least(e.x1, e.x2) <= east + pad_x)
-            & (F.greatest(e.y1, e.y2) >= low - pad_v)
-            & (F.least(e.y1, e.y2) <= high + pad_v)
-        )
+    base = lakes.select(F.col(id_col).alias("id"), order.alias("ord"), "polygons")
+    return cover.pieces(cover.edge_rows(base, ["id", "ord"]), ["id", "ord"], cell, erode_m)
 
-    def ray(e):
-        return F.greatest(e.x1, e.x2) >= west - F.lit(slack)
-
-    marked = cells.withColumns(
-        {
-            "near": F.filter("edges", close),
-            "band": F.filter("edges", ray),
-        }
-    )
-    touched = F.coalesce(F.size("near") > 0, F.lit(False))
-    middle_in = geo.strictly_inside(F.col("band"), west + F.lit(cell / 2), low + F.lit(cell / 2))
-    return marked.where(touched | F.coalesce(middle_in, F.lit(False))).select(
-        "cx",
-        "cy",
-        "id",
-        "ord",
-        (~touched).alias("whole"),
-        F.when(touched, F.col("band")).alias("band"),
-        F.when(touched, F.col("near")).alias("near"),
-    )
 
+def _packed(lakes: DataFrame, cell: float, erode_m: float, id_col: str, order_col: str | None, pairs: DataFrame | None = None) -> DataFrame:
+    """One row for each strip of cells: (cy, strip, part, slots, spans); with ``pairs`` for each strip of each scene.
 
-def _length(array: str) -> Column:
-    return F.coalesce(F.size(array), F.lit(0))
+    ``slots`` has an array of lakes for each cell of the strip that edges touch, ``spans`` the interior spans over
+    the strip. Strips in which very many lakes overlap continue in further parts.
+    """
+    found = polygon_pieces(lakes, cell, erode_m, id_col, order_col)
+    if pairs is not None:
+        found = found.join(pairs.select("scene_id", F.col(id_col).alias("id")), "id")
+    strips = found.withColumn("strip", F.explode(F.sequence(cover.strip_of(F.col("x0")), cover.strip_of(F.col("x1")))))
+    slot = F.when(F.size("edges") > 0, _slot(F.col("x0")))
+    key = ["cy", "strip", *(["scene_id"] if pairs is not None else [])]
+    rank = F.row_number().over(Window.partitionBy(*key, "slot").orderBy("ord", "id", "x0")) - 1
+    rows = strips.withColumn("slot", slot).withColumn("part", F.floor(rank / LAKES_PER_ROW).cast("int"))
+    per_slot = rows.groupBy(*key, "part", "slot").agg(F.array_sort(F.collect_list(F.struct("ord", "id", "x0", "x1", "odd", "edges"))).alias("lakes"))
+    return per_slot.groupBy(*key, "part").agg(
+        F.collect_list(F.when(F.col("slot").isNotNull(), F.struct("slot", "lakes"))).alias("slots"),
+        F.flatten(F.collect_list(F.when(F.col("slot").isNull(), F.col("lakes")))).alias("spans"),
+    )
 
 
-def _accepts(entry, x: Column, y: Column, erode_m: float) -> Column:
-    inside = geo.strictly_inside(entry["band"], x, y)
-    if erode_m > 0:
-        inside = inside & ~F.exists(
-            entry["near"], lambda e: geo.metres_to_edge(e, x, y) < F.lit(float(erode_m))
-        )
-    return F.coalesce(entry["whole"] | inside, F.lit(False))
+def _slot(number: Column) -> Column:
+    return number.bitwiseAND((1 << cover.STRIP_BITS) - 1).cast("int")
 
 
 def assign_lake(
@@ -125,49 +69,49 @@ def assign_lake(
     erode_m: float = 0.0,
     id_col: str = "Hylak_id",
     order_col: str | None = "lake_order",
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Add the lake that strictly contains each point, 0 outside; the first lake wins.
 
-    With ``erode_m`` a point must also be at least that far from the shore. The
-    points keep their row count and are exchanged at most once: all lakes of a cell
-    travel in one row. Cells with very many overlapping lakes continue in further
-    rows, which are resolved separately for the points of those cells only.
+    With ``erode_m`` a point must also be at least that far from the shore. The points keep their row count and
+    are exchanged at most once: all lakes of a strip of cells travel in one row, in which a
+    point looks only at its own cell. Strips with very many overlapping lakes continue in further
+    rows, which are resolved separately for the points of those strips only.
+
+    With ``pairs`` (scene_id, and the lake as ``id_col``) only the lakes of a point's own scene count, and points in none of
+    them are left out.
     """
-    cells = polygon_cells(lakes, cell, erode_m, id_col, order_col)
-    rank = F.row_number().over(Window.partitionBy("cx", "cy").orderBy("ord", "id")) - 1
-    packed = (
-        cells.withColumn("part", F.floor(rank / F.lit(LAKES_PER_ROW)).cast("int"))
-        .groupBy("cx", "cy", "part")
-        .agg(F.sort_array(F.collect_list(F.struct("ord", "id", "whole", "band", "near"))).alias("cand"))
-    )
+    packed = _packed(lakes, cell, erode_m, id_col, order_col, pairs)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
-
-    def hit() -> Column:
-        return F.get(F.filter("cand", lambda c: _accepts(c, x, y, erode_m)), F.lit(0))["id"]
-
-    keyed = points.withColumns(
-        {"cx": geo.floor_cell(F.col(lon), cell), "cy": geo.floor_cell(F.col(lat), cell)}
-    )
-    first = packed.where(F.col("part") == 0).drop("part")
-    further = packed.where(F.col("part") > 0)
-    # two numbers about the lake side: how deep its cells are stacked, how large it is
-    sizes = cells.withColumn("part", F.floor(rank / F.lit(LAKES_PER_ROW)).cast("int")).agg(
-        F.max("part"), F.sum(F.lit(64) + 40 * (_length("band") + _length("near")))
-    )
-    depth, size = sizes.head()
-    if (size or 0) <= BROADCAST_BYTES:
-        first = F.broadcast(first)
-    found = keyed.join(first, ["cx", "cy"], "left").withColumn("_hit", hit()).drop("cand")
-    for part in range(1, (depth or 0) + 1):
-        more = further.where(F.col("part") == part).drop("part")
-        found = (
-            found.join(more, ["cx", "cy"], "left")
-            .withColumn("_hit", F.coalesce(F.col("_hit"), hit()))
-            .drop("cand")
-        )
-    return found.withColumn(out, F.coalesce(F.col("_hit"), F.lit(0)).cast("long")).drop(
-        "cx", "cy", "_hit"
-    )
+    cx, cy = F.col("_cx"), F.col("_cy")
+
+    def hits() -> Column:
+        """(ord, id) of the lakes of this row that hold the point."""
+        own = F.get(F.filter("slots", lambda s: s["slot"] == _slot(cx)), F.lit(0))["lakes"]
+        none = F.array().cast("array<struct<ord: bigint, id: bigint>>")
+
+        def named(lakes: Column) -> Column:
+            return F.coalesce(F.transform(lakes, lambda p: F.struct(p["ord"].cast("long").alias("ord"), p["id"].cast("long").alias("id"))), none)
+
+        inner = F.filter("spans", lambda p: (p["x0"] <= cx) & (cx <= p["x1"]))
+        return F.concat(named(F.filter(own, lambda p: cover.holds(p, cx, cy, cell, x, y, erode_m))), named(inner))
+
+    keyed = points.withColumns({"_cx": cover.cell_of(F.col(lon), cell), "_cy": cover.cell_of(F.col(lat), cell)}).withColumn("_strip", cover.strip_of(F.col("_cx")))
+    # two numbers about the lake side: how deep its strips are stacked, how large it is
+    edges = F.aggregate("slots", F.lit(0), lambda n, s: n + F.aggregate(s["lakes"], F.lit(1), lambda m, p: m + 2 + F.size(p["edges"])))
+    depth, size = packed.agg(F.max("part"), F.sum(F.lit(64) + 40 * (edges + 2 * F.size("spans")))).head()
+    packed = packed.withColumnsRenamed({"cy": "_cy", "strip": "_strip"})
+    found = keyed
+    for part in range((depth or 0) + 1):
+        row = packed.where(F.col("part") == part).drop("part")
+        if (size or 0) <= BROADCAST_BYTES:
+            row = F.broadcast(row)
+        joined = found.join(row, ["_cy", "_strip", *(["scene_id"] if pairs is not None else [])], "inner" if pairs is not None and not depth else "left")
+        found = joined.withColumn("_hits", F.concat("_hits", hits()) if part else hits()).drop("slots", "spans")
+    if pairs is not None:
+        found = found.where(F.size("_hits") > 0)
+    first = F.coalesce(F.array_min("_hits")["id"], F.lit(0)).cast("long")
+    return found.withColumn(out, first).drop("_cx", "_cy", "_strip", "_hits")
 
 
 def inside_eroded(points: DataFrame, lakes: DataFrame, distance_m: float, **names) -> DataFrame:
@@ -214,28 +158,61 @@ def _shaped(df: DataFrame, keep: Sequence[str], side: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame, side: str, size: float) -> DataFrame:
-    b = f"{side}_box"
-    return df.withColumn(
-        "cx", F.explode(_cell_range(F.col(f"{b}.w"), F.col(f"{b}.e"), size))
-    ).withColumn("cy", F.explode(_cell_range(F.col(f"{b}.s"), F.col(f"{b}.n"), size)))
-
-
 def boxes_meet(a: Column, b: Column) -> Column:
     return (a["w"] <= b["e"]) & (b["w"] <= a["e"]) & (a["s"] <= b["n"]) & (b["s"] <= a["n"])
 
 
-def _pair_cell(left: DataFrame, right: DataFrame) -> float:
-    """Half the mean size of the larger kind of polygon, so that few cells are shared in vain."""
+#: Two hashes of a polygon, which name its shape.
+_SHAPE = ("shape0", "shape1")
 
-    def mean_size(df):
-        b = geo.polygon_bounds(F.col("polygons"))
-        boxes = df.where(F.col("polygons").isNotNull()).select(b.alias("b"))
-        extent = F.greatest(F.col("b.e") - F.col("b.w"), F.col("b.n") - F.col("b.s"))
-        return boxes.agg(F.avg(extent)).head()[0] or 0.0
 
+def _named_shapes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys``, the name of the shape and polygons of every row with a polygon."""
+    p = F.col("polygons")
+    usable = df.where(p.isNotNull() & (F.size(F.flatten(p)) > 0))
+    return usable.select(*keys, *(F.xxhash64(F.lit(i), p).alias(c) for i, c in enumerate(_SHAPE)), "polygons")
+
+
+def _shapes(named: DataFrame, side: str) -> DataFrame:
+    """Each shape once, however many rows have it."""
+    once = named.groupBy(*_SHAPE).agg(F.any_value("polygons").alias("polygons"))
+    return once.withColumnsRenamed({c: f"{side}_{c}" for c in _SHAPE})
+
+
+def _edge_cell(left: DataFrame, right: DataFrame) -> float:
+    """Twice the mean edge of the side with shorter edges, so that few edges share a cell and few cells an edge."""
+    length = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
+    means = [x for e in (left, right) if (x := e.where(length > 0).agg(F.avg(length)).head()[0])]
     low, high = PAIR_CELL_DEG
-    return max(low, min(high, max(mean_size(left), mean_size(right)) / 2))
+    return max(low, min(high, 2 * min(means, default=high)))
+
+
+def shape_pairs(left: DataFrame, right: DataFrame, lk: Sequence[str], rk: Sequence[str], cell: float | None = None) -> DataFrame:
+    """(left keys, right keys) of every two polygons that share a point; the keys name different columns.
+
+    Either two edges meet, which is looked for edge by edge in the cells that both come near, or a ring of one
+    starts inside the other, which is a join of points with covers. No step looks at all edges of a polygon at once.
+    """
+    le, re = cover.edge_rows(left, lk), cover.edge_rows(right, rk)
+    cell = cell or _edge_cell(le, re)
+    far = {c: f"r_{c}" for c in ("x1", "y1", "x2", "y2")}
+    near = cover.edge_cells(le, cell).join(cover.edge_cells(re, cell).withColumnsRenamed(far), ["cx", "cy"])
+    meet = near.where(geo.segments_meet(_Ends(""), _Ends("r_"))).select(*lk, *rk)
+
+    def starts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        one = df.select(*keys, F.explode(geo.ring_starts(F.col("polygons"))).alias("v"))
+        return one.select(*keys, F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+
+    within = cover.containing(starts(right, rk), left, rk, lk).select(*lk, *rk)
+    around = cover.containing(starts(left, lk), right, lk, rk).select(*lk, *rk)
+    return meet.union(within).union(around).distinct()
+
+
+class _Ends:
+    """An edge whose ends are columns of their own."""
+
+    def __init__(self, prefix: str):
+        self.x1, self.y1, self.x2, self.y2 = (F.col(f"{prefix}{c}") for c in ("x1", "y1", "x2", "y2"))
 
 
 def intersecting_pairs(
@@ -247,28 +224,19 @@ def intersecting_pairs(
 ) -> DataFrame:
     """(left keys, right keys) of every two polygons that share a point.
 
-    Rows without a polygon meet nothing. Candidates share a coarse cell of their
-    bounding boxes; a pair is kept only in the south-west cell of its overlap, so
-    no distinct is needed afterwards.
+    Rows without a polygon meet nothing. Rows with equal polygons, such as the scenes of a repeated orbit, are
+    looked at once: pairs are found between shapes and then given to the rows that have them.
     """
-    cell = cell or _pair_cell(left, right)
-    a = _spread(_shaped(left, left_keys, "l"), "l", cell)
-    b = _spread(_shaped(right, right_keys, "r"), "r", cell)
-    la, rb = F.col("l_box"), F.col("r_box")
-    home = (F.col("cx") == geo.floor_cell(F.greatest(la["w"], rb["w"]), cell)) & (
-        F.col("cy") == geo.floor_cell(F.greatest(la["s"], rb["s"]), cell)
-    )
-    exact = geo.polygons_intersect(
-        F.col("l_edges"), F.col("l_starts"), F.col("r_edges"), F.col("r_starts")
-    )
+    lk, rk = ([f"{side}_{c}" for c in _SHAPE] for side in "lr")
+    a = _named_shapes(left, left_keys)
+    b = _named_shapes(right, right_keys)
+    pairs = shape_pairs(_shapes(a, "l"), _shapes(b, "r"), lk, rk, cell)
+    on_left = a.select(*(F.col(k).alias(f"_l_{k}") for k in left_keys), *(F.col(c).alias(f"l_{c}") for c in _SHAPE))
+    on_right = b.select(*(F.col(k).alias(f"_r_{k}") for k in right_keys), *(F.col(c).alias(f"r_{c}") for c in _SHAPE))
     return (
-        a.join(b, ["cx", "cy"])
-        .where(home & boxes_meet(la, rb))
-        .where(exact)
-        .select(
-            *[F.col(f"l_{k}").alias(k) for k in left_keys],
-            *[F.col(f"r_{k}").alias(k) for k in right_keys],
-        )
+        pairs.join(on_right, rk)
+        .join(on_left, lk)
+        .select(*(F.col(f"_l_{k}").alias(k) for k in left_keys), *(F.col(f"_r_{k}").alias(k) for k in right_keys))
     )
 
 
@@ -311,23 +279,22 @@ def lakes_for_window(scene_lakes: DataFrame, windows: DataFrame) -> DataFrame:
     ``scene_lakes``: scene_id, Hylak_id, polygons. ``windows``: scene_id,
     window_id, w, s, e, n (NULL for a full window).
     """
-    shaped = scene_lakes.select(
-        "scene_id",
-        "Hylak_id",
-        geo.polygon_edges(F.col("polygons")).alias("l_edges"),
-        geo.ring_starts(F.col("polygons")).alias("l_starts"),
-        geo.polygon_bounds(F.col("polygons")).alias("l_box"),
-    )
-    frame = geo.box_polygon(F.col("w"), F.col("s"), F.col("e"), F.col("n"))
-    rect = F.struct("w", "s", "e", "n")
+    box = geo.polygon_bounds(F.col("polygons"))
+    boxed = scene_lakes.select("scene_id", "Hylak_id", box.alias("l_box"))
+    joined = boxed.join(windows, "scene_id")
     full = F.col("w").isNull()
-    joined = shaped.join(windows, "scene_id")
-    meets = boxes_meet(F.col("l_box"), rect) & geo.polygons_intersect(
-        F.col("l_edges"), F.col("l_starts"), geo.polygon_edges(frame), geo.ring_starts(frame)
-    )
-    return joined.where(full | F.coalesce(meets, F.lit(False))).select(
-        "scene_id", "window_id", "Hylak_id"
-    )
+    # only lakes whose box meets a window, and does not lie in it, need their polygons
+    rect = F.struct("w", "s", "e", "n")
+    b = F.col("l_box")
+    within = (b["w"] >= F.col("w")) & (b["e"] <= F.col("e")) & (b["s"] >= F.col("s")) & (b["n"] <= F.col("n"))
+    near = joined.where(full | F.coalesce(boxes_meet(b, rect), F.lit(False)))
+    names = ["scene_id", "window_id", "Hylak_id"]
+    sure = full | (within & b["w"].isNotNull())
+    open_pairs = near.where(~sure).select(*names, "w", "s", "e", "n")
+    shaped = scene_lakes.select("scene_id", "Hylak_id", geo.polygon_edges(F.col("polygons")).alias("l_edges"), geo.ring_starts(F.col("polygons")).alias("l_starts"))
+    frame = geo.box_polygon(F.col("w"), F.col("s"), F.col("e"), F.col("n"))
+    meets = geo.polygons_intersect(F.col("l_edges"), F.col("l_starts"), geo.polygon_edges(frame), geo.ring_starts(frame))
+    return near.where(sure).select(*names).union(open_pairs.join(shaped, ["scene_id", "Hylak_id"]).where(meets).select(*names))
 
 
 def scene_grid_ids(scenes: DataFrame, size: int = 5) -> DataFrame:

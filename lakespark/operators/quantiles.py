@@ -1,10 +1,10 @@
 """Exact grouped quantiles and average ranks in one plan for groups of any size.
 
-Equal values of a group are counted first (combined map-side), which spreads a large group over
-tasks. The counts are then summed in a fixed set of buckets (logarithmic, sign-aware,
-monotone), a few hundred rows for each group, and only the buckets that hold a requested rank
-are looked at value by value. A float32 bucket of 1/8 octave holds at most 2**20
-distinct values; float64 columns are narrowed twice more.
+Two passes over the rows. The first counts values in a fixed set of buckets (logarithmic, sign-aware,
+monotone), which combine inside each task: a few hundred rows for each group, however large. The buckets that hold a
+requested rank, one small row for each group, then meet the rows again, and only values in those buckets are counted one
+by one. A float32 bucket of 1/8 octave holds at most 2**20 distinct values; float64 columns are
+narrowed twice more before values are counted.
 
 Quantiles interpolate linearly between order statistics. NULL and NaN are no values;
 infinite values are ordered like any other; a NULL key is a group of its own.
@@ -19,6 +19,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakespark.session import settle
+
 # Buckets per octave at each narrowing.
 FLOAT_LADDER = (1 << 3,)
 DOUBLE_LADDER = (1 << 3, 1 << 20, 1 << 37)
@@ -45,31 +47,21 @@ def _before(count: str, partition: Sequence[str], order: str) -> Column:
     ) - F.col(count)
 
 
-def _ranks(n: Column, wanted: Wanted) -> Column:
-    """(out, of, lo, hi, t) of every requested quantile of a group of ``n`` values."""
-    rows = []
-    for out, (m, p) in wanted.items():
-        at = F.lit(float(p)) * (n - 1)
-        lo = F.floor(at).cast("long")
-        rows.append(
-            F.struct(
-                F.lit(out).alias("out"),
-                F.lit(m).alias("of"),
-                lo.alias("lo"),
-                F.least(lo + 1, n - 1).alias("hi"),
-                (at - F.floor(at)).alias("t"),
-            )
-        )
-    return F.filter(F.array(*rows), lambda q: q["of"] == F.col("metric"))
+def _ranks(p: float) -> tuple[str, str, str]:
+    """Lower rank, upper rank and fraction of the quantile ``p`` of ``n`` values, as SQL."""
+    at = f"({float(p)!r}D * (n - 1))"
+    lo = f"cast(floor({at}) as bigint)"
+    return lo, f"least({lo} + 1, n - 1)", f"({at} - floor({at}))"
 
 
-def _covers(rank_lo: Column, rank_hi: Column) -> Column:
-    return (rank_hi >= F.col("before")) & (rank_lo < F.col("before") + F.col("c"))
+def _covers(rank_lo: str, rank_hi: str) -> str:
+    return f"({rank_hi} >= before and {rank_lo} < before + c)"
 
 
-def _asked(wanted: Wanted) -> Column:
-    """Does this bucket or value hold any requested rank?"""
-    return F.exists(_ranks(F.col("n"), wanted), lambda q: _covers(q["lo"], q["hi"]))
+def _asked(wanted: Wanted, number: Mapping[str, int]) -> Column:
+    """Does this bucket or value hold any requested rank of its metric ``m``?"""
+    tests = [f"(m = {number[m]} and {_covers(*_ranks(p)[:2])})" for m, p in sorted(set(wanted.values()))]
+    return F.expr(" or ".join(tests) or "false")
 
 
 def _join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -79,54 +71,66 @@ def _join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     return left.join(other, match, how).drop(*[f"_r_{k}" for k in on])
 
 
-def _quantiles(df: DataFrame, keys: list[str], metrics: Mapping[str, Column], wanted: Wanted, ladder: Sequence[int]) -> DataFrame:
-    """One row for each group that has values, with a column for each entry of ``wanted``."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), (c.cast("double") + F.lit(0.0)).alias("v"))
-            for m, c in metrics.items()
-        ]
-    )
-    group = [*keys, "metric"]
-    counted = (
-        df.select(*keys, F.explode(entries).alias("_e"))
-        .select(*keys, "_e.metric", "_e.v")
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-        .groupBy(*group, "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    targets = None
+def _values(metrics: Mapping[str, Column]) -> dict[str, Column]:
+    """A column for each metric: NULL where there is no value."""
+
+    def usable(c: Column) -> Column:
+        v = c.cast("double") + F.lit(0.0)
+        return F.when(~F.isnan(v), v)
+
+    return {f"_v{k}": usable(c) for k, c in enumerate(metrics.values())}
+
+
+def _quantiles(rows: DataFrame, keys: list[str], metrics: Mapping[str, Column], wanted: Wanted, ladder: Sequence[int]) -> DataFrame:
+    """One row for each group that has values, with a column for each entry of ``wanted``, from a stored table with `_values`."""
+    number = {m: k for k, m in enumerate(metrics)}
+    found = None
     for per_octave in ladder:
-        rows = counted.withColumn("b", bucket(F.col("v"), per_octave))
-        if targets is None:
-            sums = rows.groupBy(*group, "b").agg(F.sum("c").alias("c"))
-            placed = sums.withColumn("before", _before("c", group, "b")).withColumn(
-                "n", F.sum("c").over(Window.partitionBy(*group))
-            )
+        codes = _codes(number, per_octave)
+        if found is None:
+            coded = rows.select(*keys, F.posexplode(codes).alias("m", "b")).where(F.col("b").isNotNull())
+            sums = coded.groupBy(*keys, "m", "b").agg(F.count(F.lit(1)).alias("c"))
+            # the buckets of a group meet in one task: a bounded number of rows
+            sums = sums.repartition(*keys)
+            placed = sums.withColumn("before", _before("c", [*keys, "m"], "b")).withColumn("n", F.sum("c").over(Window.partitionBy(*keys, "m")))
         else:
-            # inside the buckets found so far
-            inside = _join_groups(rows.withColumn("outer", bucket(F.col("v"), coarser)), targets, [*group, "outer"])
-            sums = inside.groupBy(*group, "outer", "b").agg(
-                F.sum("c").alias("c"), F.min("base").alias("base"), F.min("n").alias("n")
-            )
-            placed = sums.withColumn("before", F.col("base") + _before("c", [*group, "outer"], "b"))
-        targets = placed.where(_asked(wanted)).select(*group, F.col("b").alias("outer"), F.col("before").alias("base"), "n")
+            coded = _inside(rows, found, keys, number, coarser).withColumn("b", bucket(F.col("v"), per_octave))
+            sums = coded.groupBy(*keys, "m", "outer", "b").agg(F.count(F.lit(1)).alias("c"), F.min("base").alias("base"), F.min("n").alias("n"))
+            placed = sums.repartition(*keys).withColumn("before", F.col("base") + _before("c", [*keys, "m", "outer"], "b"))
+        target = F.struct("m", "b", F.col("before").alias("base"), "n")
+        # at most two buckets for each requested quantile; as a table its size is known, which decides whether it is broadcast
+        found = settle(placed.where(_asked(wanted, number)).groupBy(*keys).agg(F.collect_list(target).alias("_t")))
         coarser = per_octave
-    inside = _join_groups(counted.withColumn("outer", bucket(F.col("v"), coarser)), targets, [*group, "outer"])
-    exact = (
-        inside.withColumn("before", F.col("base") + _before("c", [*group, "outer"], "v"))
-        .where(_asked(wanted))
-        .select(*group, "v", "before", "c", F.explode(_ranks(F.col("n"), wanted)).alias("q"))
-    )
-    at = lambda rank: F.max(F.when(_covers(rank, rank), F.col("v")))
-    picked = exact.groupBy(*keys, F.col("q.out").alias("out")).agg(
-        at(F.col("q.lo")).alias("lo"), at(F.col("q.hi")).alias("hi"), F.max("q.t").alias("t")
-    )
-    between = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("t")
-    answer = F.when((F.col("t") == 0) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(between)
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("out") == out, answer)).alias(out) for out in wanted]
+    counted = (
+        _inside(rows, found, keys, number, coarser)
+        .groupBy(*keys, "m", "outer", "v")
+        .agg(F.count(F.lit(1)).alias("c"), F.min("base").alias("base"), F.min("n").alias("n"))
+        .repartition(*keys)
+        .withColumn("before", F.col("base") + _before("c", [*keys, "m", "outer"], "v"))
+        .where(_asked(wanted, number))
     )
+    answers = []
+    for k, (metric, p) in enumerate(wanted.values()):
+        lo, hi, t = _ranks(p)
+        mine = f"m = {number[metric]}"
+        answers += [f"max(case when {mine} and {_covers(x, x)} then v end) as {n}{k}" for n, x in (("lo", lo), ("hi", hi))]
+        answers.append(f"max(case when {mine} then {t} end) as t{k}")
+    picked = counted.groupBy(*keys).agg(*map(F.expr, answers))
+    between = "case when t{k} = 0 or lo{k} = hi{k} then lo{k} else lo{k} + (hi{k} - lo{k}) * t{k} end"
+    return picked.select(*keys, *(F.expr(between.format(k=k)).alias(out) for k, out in enumerate(wanted)))
+
+
+def _codes(number: Mapping[str, int], per_octave: int) -> Column:
+    return F.array(*(bucket(F.col(f"_v{k}"), per_octave) for k in number.values()))
+
+
+def _inside(rows: DataFrame, found: DataFrame, keys: Sequence[str], number: Mapping[str, int], per_octave: int) -> DataFrame:
+    """Values (m, v) of the rows that lie in one of the buckets ``_t`` of their group, with that bucket as ``outer``, base and n."""
+    coded = rows.select(*keys, F.array(*(f"_v{k}" for k in number.values())).alias("_v"), _codes(number, per_octave).alias("_b"))
+    met = _join_groups(coded, found, keys)
+    hits = F.filter("_t", lambda t: F.get("_b", t["m"]) == t["b"])
+    one = met.select(*keys, "_v", F.explode(hits).alias("_h"))
+    return one.select(*keys, "_h.m", F.get("_v", F.col("_h.m")).alias("v"), F.col("_h.b").alias("outer"), "_h.base", "_h.n")
 
 
 def summarize(
@@ -136,21 +140,29 @@ def summarize(
     wanted: Wanted,
     aggs: Sequence[Column] = (),
     ladder: Sequence[int] = FLOAT_LADDER,
+    uses: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per group: ordinary aggregates plus exact quantiles.
 
     ``metrics`` maps a metric to its value column (NULL where a row does not
     count); ``wanted`` maps an output column to (metric, probability). A group
-    without values of a metric gets NULL.
+    without values of a metric gets NULL. What both passes read is written to a table once: the keys and
+    values or, if ``uses`` names the columns that metrics and ``aggs`` need, those, so that ``df`` is read only once.
     """
     keys, aggs = list(keys), list(aggs)
     if not keys:
-        one = summarize(df.withColumn("_all", F.lit(1)), ["_all"], metrics, wanted, aggs, ladder)
+        one = summarize(df.withColumn("_all", F.lit(1)), ["_all"], metrics, wanted, aggs, ladder, uses)
         # an empty input still has one (empty) group
         always = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
         return always.join(one, "_all", "left").drop("_all")
-    base = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
-    return _join_groups(base, _quantiles(df, keys, metrics, wanted, ladder), keys, "left")
+    values = [c.alias(n) for n, c in _values(metrics).items()]
+    if uses is None:
+        rows = settle(df.select(*keys, *values))
+    else:
+        df = settle(df.select(*keys, *(c for c in uses if c not in keys)))
+        rows = df.select(*keys, *values)
+    base = df.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
+    return _join_groups(base, _quantiles(rows, keys, metrics, wanted, ladder), keys, "left")
 
 
 def average_ranks(
@@ -158,33 +170,22 @@ def average_ranks(
 ) -> DataFrame:
     """Add the 1-based average rank of ``value`` within its group (ties share the mean).
 
-    Distinct values are ranked inside their bucket, buckets by their counts; no
-    group is ever sorted as a whole.
+    Distinct values are ranked inside their bucket, buckets inside the next larger one, and so on up the
+    ladder; no group is ever sorted as a whole.
     """
     keys = list(keys)
     if not keys:
         return average_ranks(
             df.withColumn("_all", F.lit(1)), ["_all"], value, rank, ladder
         ).drop("_all")
-    distinct = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", bucket(F.col(value).cast("double"), ladder[-1]))
-    )
-    offsets = (
-        distinct.groupBy(*keys, "_b")
-        .agg(F.sum("_c").alias("_bc"))
-        .withColumn("_base", _before("_bc", keys, "_b"))
-        .select(*keys, "_b", "_base")
-    )
-    ranked = (
-        distinct.withColumn("_in", _before("_c", [*keys, "_b"], value))
-        .join(offsets, [*keys, "_b"])
-        .select(
-            *keys,
-            value,
-            (F.col("_base") + F.col("_in") + (F.col("_c") + 1) / F.lit(2.0)).alias(rank),
-        )
-    )
+    distinct = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    steps = [f"_b{k}" for k in range(len(ladder))]
+    distinct = distinct.withColumns({b: bucket(F.col(value).cast("double"), per) for b, per in zip(steps, ladder, strict=True)})
+    ranked = distinct.withColumn("_rank", _before("_c", [*keys, *steps], value))
+    for depth in range(len(steps)):
+        outer, inner = [*keys, *steps[:depth]], [*keys, *steps[: depth + 1]]
+        sums = distinct.groupBy(*inner).agg(F.sum("_c").alias("_s"))
+        offsets = sums.withColumn("_base", _before("_s", outer, steps[depth])).drop("_s")
+        ranked = ranked.join(offsets, inner).withColumn("_rank", F.col("_rank") + F.col("_base")).drop("_base")
+    ranked = ranked.select(*keys, value, (F.col("_rank") + (F.col("_c") + 1) / F.lit(2.0)).alias(rank))
     return df.join(ranked, [*keys, value], "left")

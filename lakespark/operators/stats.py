@@ -40,6 +40,11 @@ _WINDOW_METRICS = {
     "MPH": ("valid_water_mask", "MPH", "retained", ("mean", "median", "p10", "p90", "max")),
     "FAI": ("valid_water_mask", "FAI", "retained", ("mean", "median", "p10", "p90", "max")),
 }
+# Columns that counts, means and maxima read.
+_USED = (
+    "valid_water_mask", "cyan_strict_valid_mask", "bloom_rescue_mask", "cldice_mask", "ci_valid_mask",
+    "ci_candidate_mask", "ci_detection_mask", *_WINDOW_METRICS,
+)
 _PROBABILITY = {"median": 0.5, "p10": 0.1, "p90": 0.9}
 
 
@@ -80,7 +85,7 @@ def lake_window_stats(native: DataFrame, keys: Sequence[str] | None = None) -> D
         for s in wanted
         if s in _PROBABILITY
     }
-    return summarize(df, keys, values, asked, counts).withColumns(
+    return summarize(df, keys, values, asked, counts, uses=_USED).withColumns(
         {
             "retained_percent": F.lit(100.0) * retained / n,
             "ci_cyano_detection_fraction_of_ci_valid": F.try_divide(hits, ci_ok),
@@ -118,9 +123,8 @@ def scene_share_stats(native: DataFrame) -> DataFrame:
     asked = {f"{m}_{s}": (m, p) for m in bases for s, p in _PROBABILITY.items()}
     rescued = F.try_divide(F.col("bloom_rescued_pixels"), F.col("CLDICE_pixels"))
     return (
-        summarize(df, keys, values, asked, counts)
+        summarize(df, keys, values, asked, counts, uses=(*_USED, "cloud_excluded_mask"))
         .withColumn("bloom_rescue_fraction_of_CLDICE", rescued)
-        .orderBy("scene_id", "Hylak_id")
     )
 
 
@@ -169,7 +173,7 @@ def dense_lake_stats(dense: DataFrame, lakes: DataFrame, keys: Sequence[str] = (
             "ci_cyano_detection_fraction_of_ci_valid": F.try_divide(det, ok),
             "ci_cyano_detection_fraction_of_retained": F.try_divide(det, kept),
         }
-    ).orderBy(F.col("Lake_area_km2").desc(), F.col("Hylak_id").asc())
+    )
 
 
 def with_lake_metadata(stats: DataFrame, lakes: DataFrame) -> DataFrame:
@@ -492,7 +496,7 @@ def lake_list(
     """Distinct lakes of a native or statistics table, with names."""
     ids = rows.select(*keys, "Hylak_id").where(F.col("Hylak_id").isNotNull()).distinct()
     names = lakes.select("Hylak_id", F.coalesce("Lake_name", F.lit("")).alias("Lake_name"))
-    return ids.join(names, "Hylak_id", "left").orderBy(*keys, "Lake_name", "Hylak_id")
+    return ids.join(names, "Hylak_id", "left")
 
 
 

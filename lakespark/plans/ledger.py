@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -160,21 +161,79 @@ def queue_view(ledger: DataFrame) -> DataFrame:
     return view.select(*[c for c in QUEUE_COLUMNS if c in view.columns])
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return with_missing_columns(spark.read.parquet(path), LEDGER).select(*[f.name for f in LEDGER])
+# --- the stored ledger: snapshots and a numbered pointer to each -----------------------------
 
 
-def write_ledger(ledger: DataFrame, path: str) -> None:
-    """Replace the configurations present in ``ledger``.
+class LedgerConflict(RuntimeError):
+    """Another writer committed first; nothing of this write is visible."""
 
-    The new rows usually derive from the same path, so they are written elsewhere
-    first and only then moved over.
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and its path class."""
+    kind = spark._jvm.org.apache.hadoop.fs.Path
+    return kind(path).getFileSystem(spark._jsc.hadoopConfiguration()), kind
+
+
+def _pointers(spark: SparkSession, path: str) -> dict[int, str]:
+    """Snapshot of each version; empty for one whose writer died while it committed."""
+    fs, kind = _files(spark, path)
+    folder = kind(f"{path}/versions")
+    if not fs.exists(folder):
+        return {}
+    found = {}
+    for status in fs.listStatus(folder):
+        stream = fs.open(status.getPath())
+        try:
+            found[int(status.getPath().getName())] = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+    return found
+
+
+def ledger_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest committed version, 0 if there is none."""
+    return max((v for v, name in _pointers(spark, path).items() if name), default=0)
+
+
+def read_ledger(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The ledger as of a version (default: the newest). A snapshot never changes, so readers are safe from writers."""
+    pointers = _pointers(spark, path)
+    number = version if version is not None else max((v for v, name in pointers.items() if name), default=0)
+    if not number:
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.parquet(f"{path}/snapshots/{pointers[number]}")
+    return with_missing_columns(rows, LEDGER).select(*[f.name for f in LEDGER])
+
+
+def write_ledger(ledger: DataFrame, path: str, expected: int | None = None) -> int:
+    """Commit a new version in which the configurations present in ``ledger`` are replaced; returns its number.
+
+    ``expected`` is the version that ``ledger`` was derived from (default: the newest now). The snapshot is written
+    first; creating the next numbered pointer, which only one writer can do, commits it. If another writer was
+    faster, LedgerConflict is raised, and the caller reads and derives again. A snapshot without pointer is never read.
     """
-    (
-        settle(ledger)
-        .repartition("config_hash", F.pmod(F.xxhash64("scene_id"), F.lit(16)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("config_hash")
-        .parquet(path)
-    )
+    spark = ledger.sparkSession
+    pointers = _pointers(spark, path)
+    newest = max((v for v, name in pointers.items() if name), default=0)
+    base = newest if expected is None else expected
+    if base != newest:
+        raise LedgerConflict(f"version {newest} is newer than {base}")
+    number = max(pointers, default=0) + 1
+    # read by the kept rows' filter and by the snapshot: computed once
+    rows = settle(ledger.select(*[f.name for f in LEDGER]))
+    kept = read_ledger(spark, path, base).join(rows.select("config_hash").distinct(), "config_hash", "left_anti") if base else None
+    name = f"{number:012d}-{uuid.uuid4().hex}"
+    fs, kind = _files(spark, path)
+    folder = f"{path}/snapshots/{name}"
+    (rows if kept is None else rows.unionByName(kept.select(*rows.columns))).write.parquet(folder)
+    try:
+        # fails if the pointer exists
+        stream = fs.create(kind(f"{path}/versions/{number:012d}"), False)
+    except Exception as e:
+        fs.delete(kind(folder), True)
+        raise LedgerConflict(f"version {number} was committed by another writer") from e
+    try:
+        stream.write(bytearray(name.encode()))
+    finally:
+        stream.close()
+    return number

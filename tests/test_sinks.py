@@ -57,3 +57,81 @@ def test_comparison_mask_keeps_null_scopes(spark):
     df = spark.createDataFrame([(None, 1, None), (None, 0, None), ("a", 1, 0), ("a", 1, 1)], "scene_id string, valid_water_mask int, cyan_strict_valid_mask int")
     got = sorted((r.scene_id or "", r.comparison_valid) for r in qa.comparison_valid(df).collect())
     assert got == [("", False), ("", True), ("a", False), ("a", True)]
+
+
+def ledger_rows(spark, *rows):
+    from lakespark.schema import LEDGER, with_missing_columns
+
+    return with_missing_columns(spark.createDataFrame(list(rows), "scene_id string, config_hash string, status string"), LEDGER)
+
+
+def test_ledger_versions_two_writers_and_a_failed_commit(spark, tmp_path):
+    import os
+
+    import pytest
+    from lakespark.plans import ledger
+
+    path = str(tmp_path / "ledger")
+    assert ledger.read_ledger(spark, path).count() == 0
+    assert ledger.write_ledger(ledger_rows(spark, ("s", "a", "queued"), ("s", "b", "queued")), path) == 1
+    # both derive from version 1; the second commit is refused and leaves nothing behind
+    assert ledger.write_ledger(ledger_rows(spark, ("s", "a", "done")), path, expected=1) == 2
+    with pytest.raises(ledger.LedgerConflict):
+        ledger.write_ledger(ledger_rows(spark, ("s", "a", "failed")), path, expected=1)
+    state = lambda v=None: {(r.config_hash, r.status) for r in ledger.read_ledger(spark, path, v).collect()}
+    assert state() == {("a", "done"), ("b", "queued")} and state(1) == {("a", "queued"), ("b", "queued")}
+    # a writer that dies before or while it commits is not seen, and the next one goes on
+    os.makedirs(f"{path}/snapshots/000000000003-lost")
+    open(f"{path}/versions/000000000003", "w").close()
+    assert state() == {("a", "done"), ("b", "queued")} and ledger.ledger_version(spark, path) == 2
+    assert ledger.write_ledger(ledger_rows(spark, ("t", "c", "queued")), path) == 4
+    assert state() == {("a", "done"), ("b", "queued"), ("c", "queued")}
+
+
+def test_ledger_race_for_one_pointer(spark, tmp_path, monkeypatch):
+    """The other writer commits while this one writes its snapshot."""
+    import os
+
+    import pytest
+    from lakespark.plans import ledger
+
+    path = str(tmp_path / "ledger")
+    ledger.write_ledger(ledger_rows(spark, ("s", "a", "queued")), path)
+    settle = ledger.settle
+
+    def meanwhile(df):
+        monkeypatch.setattr(ledger, "settle", settle)
+        ledger.write_ledger(ledger_rows(spark, ("s", "a", "running")), path)
+        return settle(df)
+
+    monkeypatch.setattr(ledger, "settle", meanwhile)
+    with pytest.raises(ledger.LedgerConflict):
+        ledger.write_ledger(ledger_rows(spark, ("s", "a", "failed")), path)
+    assert [r.status for r in ledger.read_ledger(spark, path).collect()] == ["running"]
+    assert len(os.listdir(f"{path}/snapshots")) == 2
+
+
+def test_ingest_writes_manifest_and_ledger(spark, small_swath, two_lakes, tmp_path):
+    from conftest import box
+    from lakespark.plans import ledger
+    from lakespark.plans.ingest import ingest
+    from lakespark.schema import MULTIPOLYGON
+    from pyspark.sql import types as T
+
+    fields = [T.StructField(n, T.StringType()) for n in ("scene_id", "name", "start")]
+    schema = T.StructType([*fields, T.StructField("footprint", MULTIPOLYGON)])
+    rows = [("scene", "n", "2024-01-01T12:00:00Z", box(-86.0, 39.0, -84.0, 41.0)), ("far", "f", "2024-01-01T12:00:00Z", box(0.0, 0.0, 1.0, 1.0))]
+    scenes = spark.createDataFrame(rows, schema)
+    pixels = bands.decode_bands(small_swath, fx.BANDS)
+    root, book = str(tmp_path / "out"), str(tmp_path / "ledger")
+    for attempt in (1, 2):
+        ingest(spark, pixels, scenes, two_lakes, fx.FLAG_MAP, "c", root, ledger_path=book)
+        assert ledger.ledger_version(spark, book) == attempt
+        state = {r.scene_id: r for r in ledger.read_ledger(spark, book).collect()}
+        assert state["far"].status == "skipped_no_lakes" and state["scene"].status == "done"
+        assert state["scene"].candidate_lakes == 2 and state["scene"].stats_rows == 2 and state["scene"].compact_bytes > 0
+        manifest = store.read_stats(spark, f"{root}/manifest", "c").collect()
+        assert [(m.scene_id, m.compact_rows, m.windows) for m in manifest] == [("scene", 12, ["FULL"])]
+    # the first run without any rows
+    empty = ingest(spark, pixels.where("false"), scenes, two_lakes, fx.FLAG_MAP, "c", str(tmp_path / "none"))
+    assert {r.scene_id: r.stats_rows for r in empty.collect()} == {"scene": 0, "far": None}
