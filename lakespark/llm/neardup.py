@@ -204,6 +204,25 @@ def rare_keys(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     return ordered.where(F.col("c").isNotNull() & (F.col("nth") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("node", "n", "key")
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (g, h, node, of) of bounded groups in which every two nodes of different components under a key meet.
+
+    The largest component of a key needs no comparison with itself: its blocks meet those of the others, and those meet each other.
+    """
+    sizes = rows.groupBy("key", "of").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("c", "of"))["of"].alias("largest"))
+    sides = rows.join(largest, "key").withColumn("main", F.col("of") == F.col("largest"))
+    need = F.greatest(F.ceil(F.count("*") / (GROUP_ROWS // 2)), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("long")
+    parts = sides.groupBy("key", "main").agg(need.alias("parts"))
+    parts = parts.groupBy("key").agg(F.max(F.when(~F.col("main"), F.col("parts"))).alias("others"), F.max(F.when(F.col("main"), F.col("parts"))).alias("mains"))
+    every = F.col("others") + F.col("mains")
+    block = F.when(F.col("main"), F.col("others") + _part_of(F.col("node"), F.col("mains"))).otherwise(_part_of(F.col("node"), F.col("others")))
+    dealt = sides.join(parts, "key").withColumn("block", block)
+    met = F.filter(F.sequence(F.lit(0).cast("long"), F.when(F.col("main"), F.col("others")).otherwise(every) - 1), lambda j: j != F.col("block"))
+    pairs = dealt.select("node", "of", F.col("key").alias("g"), "block", every.alias("every"), F.explode(met).alias("other"))
+    return pairs.select("node", "of", "g", (F.least("block", "other") * F.col("every") + F.greatest("block", "other")).alias("h"))
+
+
 def _part_of(node, parts):
     return F.pmod(F.xxhash64(node, F.lit("part")), parts)
 
@@ -223,7 +242,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     3. Keys under which documents of different components still meet give the remaining
        candidates: first each document in its largest group, then key by key (keys of equal groups once). Documents of keys too large for one group
        meet under their rarest shingles instead, which loses no link; what is still too large after that is
-       compared block by block. Only links of a spanning forest leave a task.
+       compared block by block, its largest component only with the others. Only links of a spanning forest leave a task.
     """
     rows = settle(sketch(docs, k, percent))
     copies = settle(
@@ -264,13 +283,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     crowded = settle(left.join(large, "key", "left_semi").select("node").distinct())
     if not crowded.isEmpty():
         rare = settle(_once(_open_keys(rare_keys(texts.join(crowded, "node", "left_semi"), k, percent), components(found))))
-        blocks = rare.join(_parts(rare, "key"), "key").withColumn("block", _part_of(F.col("node"), F.col("parts")))
-        # block i meets block j in group (i, j), i < j; a lone block meets itself
-        other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.col("parts") == 1) | (j != F.col("block"))))
-        pairs = blocks.select("node", "of", F.col("key").alias("g"), "parts", "block", other.alias("other")).select(
-            "node", "of", "g", (F.least("block", "other") * F.col("parts") + F.greatest("block", "other")).alias("h")
-        )
-        found = found.union(settle(confirm(pairs.join(texts, "node"), k, percent)))
+        found = found.union(settle(confirm(_blocks(rare).join(texts, "node"), k, percent)))
 
     final = components(found)
     return placed.join(final, "node", "left").select(
