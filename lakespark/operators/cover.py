@@ -157,9 +157,11 @@ def own_level(df: DataFrame) -> Column:
     return F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[-1]), wanted)).cast("int")
 
 
-def containing(points: DataFrame, polygons: DataFrame, point_keys: Sequence[str], polygon_keys: Sequence[str]) -> DataFrame:
+def containing(points: DataFrame, polygons: DataFrame, point_keys: Sequence[str], polygon_keys: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
     """(point keys, polygon keys) of every point (x, y) strictly inside a polygon, by equi-joins on cells.
 
+    ``on``: columns among both keys that must agree.
+
     Every polygon is covered at a level of its own; a point has one key for each level.
     """
     pk, gk = list(point_keys), list(polygon_keys)
@@ -168,10 +170,10 @@ def containing(points: DataFrame, polygons: DataFrame, point_keys: Sequence[str]
     cover = pieces(edges, [*gk, "level"], size).withColumnsRenamed({"x0": "c0", "x1": "c1"})
     strips = cover.withColumn("strip", F.explode(F.sequence(strip_of(F.col("c0")), strip_of(F.col("c1")))))
     placed = (
-        points.select(*pk, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.explode(F.array(*map(F.lit, LEVELS))).alias("level"))
-        .withColumns({"cx": cell_of(F.col("x"), size), "cy": cell_of(F.col("y"), size)})
+        points.select(*pk, F.col("x").cast("double").alias("_x"), F.col("y").cast("double").alias("_y"), F.explode(F.array(*map(F.lit, LEVELS))).alias("level"))
+        .withColumns({"cx": cell_of(F.col("_x"), size), "cy": cell_of(F.col("_y"), size)})
         .withColumn("strip", strip_of(F.col("cx")))
     )
     piece = {c: F.col(c) for c in ("edges", "odd")}
-    found = placed.join(strips, ["level", "cy", "strip"]).where((F.col("c0") <= F.col("cx")) & (F.col("cx") <= F.col("c1")))
-    return found.where(holds(piece, F.col("cx"), F.col("cy"), size, F.col("x"), F.col("y"))).select(*pk, *gk)
+    found = placed.join(strips, ["level", "cy", "strip", *on]).where((F.col("c0") <= F.col("cx")) & (F.col("cx") <= F.col("c1")))
+    return found.where(holds(piece, F.col("cx"), F.col("cy"), size, F.col("_x"), F.col("_y"))).select(*pk, *(k for k in gk if k not in on))

@@ -30,13 +30,13 @@ Wanted = Mapping[str, tuple[str, float]]
 
 
 def bucket(value: Column, per_octave: int) -> Column:
-    """Monotone integer bucket of a double; infinite values have buckets of their own."""
+    """Monotone integer bucket of a double; infinite values have buckets of their own, NULL has none."""
     beyond = F.lit(2 * per_octave * _OCTAVES).cast("long")
     infinite = F.abs(value) == F.lit(float("inf"))
     finite = F.when(infinite, F.lit(1.0)).otherwise(F.abs(value))
     magnitude = F.floor(F.log2(finite) * F.lit(float(per_octave))).cast("long")
     shifted = F.when(infinite, beyond).otherwise(magnitude + F.lit(per_octave * _OCTAVES).cast("long"))
-    return F.when(value > 0, shifted).when(value < 0, -shifted).otherwise(F.lit(0).cast("long"))
+    return F.when(value > 0, shifted).when(value < 0, -shifted).when(value == 0, F.lit(0).cast("long"))
 
 
 def _before(count: str, partition: Sequence[str], order: str) -> Column:

@@ -2,77 +2,78 @@
 
 from __future__ import annotations
 
-
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakespark.functions import geo
 from lakespark.functions.names import window_id
-
-# the pandas step travels with the job, so workers need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from lakespark.operators import cover
+from lakespark.operators.components import connected
+from lakespark.session import settle
 
 MARGIN_KM = 3.0
 MAX_WINDOWS = 6
 FULL_FRACTION = 0.35
 WIDEST_DEG = 170.0
+#: Cells in which boxes of one scene meet each other and its outline, in degrees.
+CELL_DEG = 0.25
+
 
+def _in_cells(boxes: DataFrame) -> DataFrame:
+    """``boxes`` (w, s, e, n) with every cell (cx, cy) that each covers."""
+    across = F.sequence(cover.cell_of(F.col("w"), CELL_DEG), cover.cell_of(F.col("e"), CELL_DEG))
+    up = F.sequence(cover.cell_of(F.col("s"), CELL_DEG), cover.cell_of(F.col("n"), CELL_DEG))
+    return boxes.withColumn("cx", F.explode(across)).withColumn("cy", F.explode(up))
 
-def _clip(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
-    """Vertices of a ring cut to a box, one side after the other."""
-    w, s, e, n = box
-    for axis, limit, keep_above in ((0, w, True), (0, e, False), (1, s, True), (1, n, False)):
-        if not len(ring):
-            break
-        nxt = np.roll(ring, -1, axis=0)
-        inside = ring[:, axis] >= limit if keep_above else ring[:, axis] <= limit
-        nxt_in = np.roll(inside, -1)
-        out = []
-        for p, q, a, b in zip(ring, nxt, inside, nxt_in):
-            if a:
-                out.append(p)
-            if a != b:
-                t = (limit - p[axis]) / (q[axis] - p[axis])
-                cut = p + t * (q - p)
-                cut[axis] = limit
-                out.append(cut)
-        ring = np.array(out).reshape(-1, 2)
-    return ring
-
-
-def components(boxes: np.ndarray) -> np.ndarray:
-    """Component label of each (w, s, e, n) box; sharing only a corner does not connect."""
-    order = np.argsort(boxes[:, 0], kind="stable")
-    parent = np.arange(len(boxes))
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    sorted_west = boxes[order, 0]
-    for k, i in enumerate(order):
-        w, s, e, n = boxes[i]
-        stop = np.searchsorted(sorted_west, e, side="right")
-        others = order[k + 1 : stop]
-        if not len(others):
-            continue
-        dx = np.minimum(e, boxes[others, 2]) - boxes[others, 0]
-        dy = np.minimum(n, boxes[others, 3]) - np.maximum(s, boxes[others, 1])
-        for j in others[(dx >= 0) & (dy >= 0) & ((dx > 0) | (dy > 0))]:
-            a, b = root(i), root(j)
-            if a != b:
-                parent[b] = a
-    return np.array([root(i) for i in range(len(boxes))])
-
-
-_FIELDS = "scene_id {kind}, part double, x double, y double, extent double"
+
+def touching(boxes: DataFrame) -> DataFrame:
+    """(scene_id, a, b) of every two boxes (scene_id, node, w, s, e, n) of a scene that share more than a corner.
+
+    A pair is found in each cell that both cover and kept in the south-west one of its overlap.
+    """
+    one = _in_cells(boxes)
+    other = one.withColumnsRenamed({c: f"_{c}" for c in ("node", *"wsen")})
+    west, south = F.greatest("w", "_w"), F.greatest("s", "_s")
+    dx, dy = F.least("e", "_e") - west, F.least("n", "_n") - south
+    home = (F.col("cx") == cover.cell_of(west, CELL_DEG)) & (F.col("cy") == cover.cell_of(south, CELL_DEG))
+    met = one.join(other, ["scene_id", "cx", "cy"]).where(F.col("node") < F.col("_node"))
+    return met.where(home & (dx >= 0) & (dy >= 0) & ((dx > 0) | (dy > 0))).select("scene_id", F.col("node").alias("a"), F.col("_node").alias("b"))
+
+
+def _entry_and_exit() -> tuple[Column, Column]:
+    """Shares of an edge (x1, y1, x2, y2) at which it enters and leaves a box (w, s, e, n); NULL if it misses it."""
+    first, last, possible = [F.lit(0.0)], [F.lit(1.0)], F.lit(True)
+    for lo, hi, a, b in (("w", "e", "x1", "x2"), ("s", "n", "y1", "y2")):
+        step = F.col(b) - F.col(a)
+        ends = [F.try_divide(F.col(limit) - F.col(a), step) for limit in (lo, hi)]
+        first.append(F.least(*ends))
+        last.append(F.greatest(*ends))
+        # an edge along the other axis: inside the limits or nowhere
+        possible = possible & ((step != 0) | F.col(a).between(F.col(lo), F.col(hi)))
+    t0, t1 = F.greatest(*first), F.least(*last)
+    meets = possible & (t0 <= t1)
+    return F.when(meets, t0), F.when(meets, t1)
+
+
+def clipped_points(boxes: DataFrame, footprints: DataFrame) -> DataFrame:
+    """(scene_id, node, x, y): points that span what each box shares with its scene's footprint (``polygons``).
+
+    These are the places where the outline enters and leaves the box, and the corners of the box inside the
+    footprint. Boxes meet only those edges of the outline that share a cell with them.
+    """
+    edges = cover.edge_cells(cover.edge_rows(footprints, ["scene_id"]), CELL_DEG)
+    near = _in_cells(boxes).join(edges, ["scene_id", "cx", "cy"]).dropDuplicates(["scene_id", "node", "x1", "y1", "x2", "y2"])
+    t0, t1 = _entry_and_exit()
+    at = near.withColumn("t", F.explode(F.array(t0, t1))).where(F.col("t").isNotNull())
+
+    def place(a: str, b: str, lo: str, hi: str) -> Column:
+        return F.greatest(F.col(lo), F.least(F.col(hi), F.col(a) + F.col("t") * (F.col(b) - F.col(a))))
+
+    crossed = at.select("scene_id", "node", place("x1", "x2", "w", "e").alias("x"), place("y1", "y2", "s", "n").alias("y"))
+    corner = F.array(*(F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x in "we" for y in "sn"))
+    corners = boxes.select("scene_id", "node", F.explode(corner).alias("v")).select("scene_id", "node", "v.x", "v.y")
+    inside = cover.containing(corners, footprints, ["scene_id", "node", "x", "y"], ["scene_id"], on=["scene_id"])
+    return crossed.union(inside.select("scene_id", "node", "x", "y"))
 
 
 def plan_windows(
@@ -82,11 +83,14 @@ def plan_windows(
     max_windows: int = MAX_WINDOWS,
     full_fraction: float = FULL_FRACTION,
     strategy: str = "adaptive_lake_windows",
+    widest_deg: float = WIDEST_DEG,
 ) -> DataFrame:
     """(scene_id, window_id, w, s, e, n) of every scene; NULL bounds mean the full scene.
 
-    ``scene_lakes``: scene_id, Hylak_id, polygons. The lakes of one scene (at most
-    thousands) are merged in one pandas group; scenes run in parallel.
+    ``scene_lakes``: scene_id, Hylak_id, polygons. Grown boxes of the lakes that overlap form a component; a window
+    bounds what the boxes of a component share with the footprint. A scene is processed whole if it has no
+    windows, more than ``max_windows``, windows over ``full_fraction`` of its extent, or a footprint
+    wider than ``widest_deg``.
     """
     full = scenes.select("scene_id", *[F.lit(None).cast("double").alias(c) for c in "wsen"])
     named = lambda df: df.select(
@@ -95,12 +99,9 @@ def plan_windows(
     if strategy == "full_scene":
         return named(full)
     b = geo.polygon_bounds(F.col("footprint"))
-    footprints = scenes.where(F.col("footprint").isNotNull()).select(
-        "scene_id",
-        # outer rings only
-        F.transform("footprint", lambda p: F.transform(F.element_at(p, 1), lambda v: F.array(v["x"], v["y"]))).alias("rings"),
-        b.alias("b"),
-    )
+    # outer rings only
+    outer = F.transform("footprint", lambda p: F.slice(p, 1, 1))
+    footprints = scenes.where(F.col("footprint").isNotNull() & (b["e"] - b["w"] <= widest_deg)).select("scene_id", outer.alias("polygons"))
     lake = geo.polygon_bounds(F.col("polygons"))
     grown = geo.expand_box(F.col("l.w"), F.col("l.s"), F.col("l.e"), F.col("l.n"), margin_km)
     boxes = (
@@ -108,40 +109,23 @@ def plan_windows(
         .select("scene_id", grown.alias("g"))
         .select("scene_id", "g.*")
         .distinct()
-        .join(footprints.where(F.col("b.e") - F.col("b.w") <= WIDEST_DEG).drop("b"), "scene_id")
+        .join(footprints.select("scene_id"), "scene_id", "left_semi")
+        .withColumn("node", F.xxhash64("w", "s", "e", "n"))
     )
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Places where the footprint meets the boxes of each component, and the extent of the footprint."""
-        box = pdf[["w", "s", "e", "n"]].to_numpy(float)
-        rings = [np.array([list(v) for v in ring], float) for ring in pdf["rings"].iloc[0]]
-        extent = np.ptp(np.concatenate(rings), axis=0)
-        cut = [
-            np.column_stack((np.full(len(c), label), c))
-            for label, one in zip(components(box), box)
-            for r in rings
-            if len(c := _clip(r, tuple(one)))
-        ]
-        out = pd.DataFrame(np.concatenate(cut) if cut else np.zeros((0, 3)), columns=["part", "x", "y"])
-        out.insert(0, "scene_id", pdf["scene_id"].iloc[0])
-        return out.assign(extent=extent[0] * extent[1])
-
-    kind = dict(scenes.dtypes)["scene_id"]
-    places = boxes.groupBy("scene_id").applyInPandas(merge, _FIELDS.format(kind=kind))
+    boxes = settle(boxes)
+    labels = connected(touching(boxes), ["scene_id"]).withColumnRenamed("component", "part")
+    points = clipped_points(boxes, footprints).join(labels, ["scene_id", "node"], "left").withColumn("part", F.coalesce("part", "node"))
     bounds = (
-        places.groupBy("scene_id", "part")
-        .agg(
-            F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n"),
-            F.first("extent").alias("extent"),
-        )
+        points.groupBy("scene_id", "part")
+        .agg(F.min("x").alias("w"), F.min("y").alias("s"), F.max("x").alias("e"), F.max("y").alias("n"))
         .where("w < e and s < n")
-    )
+    )
+    box = geo.polygon_bounds(F.col("polygons"))
+    extent = footprints.select("scene_id", ((box["e"] - box["w"]) * (box["n"] - box["s"])).alias("extent"))
     # many windows, or windows over much of the scene, are no better than the whole scene
     share = F.sum((F.col("e") - F.col("w")) * (F.col("n") - F.col("s"))) / F.greatest(F.max("extent"), F.lit(1e-9))
-    worth = bounds.groupBy("scene_id").agg(F.count("*").alias("windows"), share.alias("share"))
+    worth = bounds.join(extent, "scene_id").groupBy("scene_id").agg(F.count("*").alias("windows"), share.alias("share"))
     worth = worth.where((F.col("windows") <= max_windows) & (F.col("share") < full_fraction)).select("scene_id")
     planned = bounds.join(worth, "scene_id").select("scene_id", *"wsen")
     whole = full.join(planned.select("scene_id").distinct(), "scene_id", "left_anti")
     return named(planned.unionByName(whole))
-
-

@@ -5,6 +5,7 @@ import math
 import pytest
 from conftest import box
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakespark import fixtures as fx
 from lakespark.functions import bands, flags, geo, indices, names
@@ -212,13 +213,57 @@ def test_scene_name_and_grid_id(spark):
     assert tuple(row.b) == (-85.0, 40.0, -80.0, 45.0) and row.bad is None
 
 
-def test_window_components():
-    import numpy as np
+def test_window_components(spark):
+    from lakespark.operators.components import connected
+
+    boxes = [(0, 0, 0, 1, 1), (1, 1, 0, 2, 1), (2, 2, 1, 3, 2), (3, 5, 5, 6, 6), (4, 5.5, 5.5, 7, 7)]
+    df = spark.createDataFrame([(s, *map(float, b)) for s in "ab" for b in boxes], "scene_id string, node double, w double, s double, e double, n double")
+    df = df.withColumn("node", F.col("node").cast("long"))
+    found = {(r.scene_id, r.node): r.component for r in connected(windows.touching(df), ["scene_id"]).collect()}
+    # sharing an edge connects, sharing a corner does not; a box that touches none is in no edge
+    assert found == {(s, k): c for s in "ab" for k, c in ((0, 0), (1, 0), (3, 3), (4, 3))}
+
 
-    boxes = np.array([[0, 0, 1, 1], [1, 0, 2, 1], [2, 1, 3, 2], [5, 5, 6, 6], [5.5, 5.5, 7, 7]], float)
-    label = windows.components(boxes)
-    # sharing an edge connects, sharing a corner does not
-    assert label[0] == label[1] != label[2] and label[3] == label[4] != label[2]
+def test_windows_equal_brute_force(spark):
+    """Random boxes and slanted footprints: places in common are those of clipping the outline to each box."""
+    import random
+
+    rng = random.Random(3)
+
+    def clip(ring, w, s, e, n):
+        for axis, limit, sign in ((0, w, 1), (0, e, -1), (1, s, 1), (1, n, -1)):
+            out = []
+            for p, q in zip(ring, ring[1:] + ring[:1]):
+                a, b = sign * (p[axis] - limit) >= 0, sign * (q[axis] - limit) >= 0
+                if a:
+                    out.append(p)
+                if a != b:
+                    t = (limit - p[axis]) / (q[axis] - p[axis])
+                    cut = [p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])]
+                    cut[axis] = limit
+                    out.append(tuple(cut))
+            ring = out
+        return ring
+
+    outline = [(0.1, 0.0), (2.0, 0.3), (1.8, 2.0), (0.0, 1.7)]
+    rows = []
+    for scene in range(4):
+        for node in range(12):
+            x, y, a, b = rng.uniform(-0.2, 2), rng.uniform(-0.2, 2), rng.uniform(0.02, 0.5), rng.uniform(0.02, 0.5)
+            rows.append((scene, node, x, y, x + a, y + b))
+    boxes = spark.createDataFrame(rows, "scene_id long, node long, w double, s double, e double, n double")
+    ring = [{"x": x, "y": y} for x, y in outline + outline[:1]]
+    schema = T.StructType([T.StructField("scene_id", T.LongType()), T.StructField("polygons", MULTIPOLYGON)])
+    footprints = spark.createDataFrame([(k, [[ring]]) for k in range(4)], schema)
+    spans = windows.clipped_points(boxes, footprints).groupBy("scene_id", "node").agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).collect()
+    got = {(r[0], r[1]): tuple(r)[2:] for r in spans}
+    want = {}
+    for scene, node, *box_ in rows:
+        if left := clip(outline, *box_):
+            xs, ys = zip(*left)
+            want[scene, node] = (min(xs), min(ys), max(xs), max(ys))
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
 
 
 def test_plan_windows(spark, two_lakes):
