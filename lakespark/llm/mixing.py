@@ -25,15 +25,18 @@ BLOCKS = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame, carry: bool = False) -> DataFrame:
+def order_key() -> Column:
+    """Place of a row (doc_id, text) in the permuted order, 0 to 2^60."""
+    name = F.concat_ws(":", F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size (words) and the permutation key ``at`` (0 to 2^60) of every row.
 
-    With ``carry`` also the whole row, as ``row``. The key is taken from a digest of id and text, so it does not depend on partitions. A null text has size 0.
+    The key is taken from a digest of id and text, so it does not depend on partitions. A null text has size 0.
     """
-    name = F.concat_ws(":", F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-    at = F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long")
-    whole = [F.struct(*docs.columns).alias("row")] if carry else []
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), at.alias("at"), *whole)
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), order_key().alias("at"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
@@ -161,18 +164,17 @@ def _streams(sized: DataFrame, parts: int) -> DataFrame:
     return joined.select(*sized.columns, (F.col("base") + F.col("inner")).alias("start"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, seed: int = 1, carry: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, seed: int = 1) -> DataFrame:
     """The drawn mixture: one row for each row of ``docs`` (doc_id, text, source).
 
-    Columns: doc_id, source, size (words), source_size, target and ``pieces``, an array of (shard, place,
+    Columns: doc_id, source, size (words), source_size, target, ``at`` (the row's place in the permuted order) and ``pieces``, an array of (shard, place,
     from_word, to_word): which words of the document go to which shard, and its random place there.
     The words of a source add up to its target, rounded, at every size of the corpus. A document of more
     than one block may be cut between blocks. Null sources form a source of
     their own, last in order; null and empty texts have size 0 and no pieces. Repeated rows are
-    separate documents. An empty table gives no rows. Equal input and seed give equal pieces. With ``carry`` the column ``row``
-    holds all columns of the document.
+    separate documents. An empty table gives no rows. Equal input and seed give equal pieces.
     """
-    sized = settle(sizes(docs, carry))
+    sized = settle(sizes(docs))
     of_source = settle(targets(sized, weights, share, repeats))
     # two scalars: the words of the corpus, and its rows
     whole = sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.count("*").alias("rows")).first()
@@ -210,9 +212,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         return F.filter(F.transform("runs", of_run), lambda p: p["from_word"] < p["to_word"])
 
     pieces = F.when(F.col("size") > 0, F.flatten(F.transform(rounds, of_round))).otherwise(F.array())
-    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"), *(["row"] if carry else []))
+    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"), "at")
 
 
 def taken(mixed: DataFrame) -> Column:
     """Words of the document that the mix takes, repeats counted."""
     return F.aggregate(mixed["pieces"], F.lit(0).cast("long"), lambda s, p: s + p["to_word"] - p["from_word"])
+
+
+def with_rows(mixed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``mixed`` joined to the rows it came from: (row, size, source_size, target, pieces), with ``row`` all columns of the document.
+
+    Rows that agree in doc_id, text and source are told apart by number.
+    """
+    key = ["doc_id", "at", "source"]
+    numbered = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
+    left = docs.select("doc_id", order_key().alias("at"), "source", F.struct(*docs.columns).alias("row")).withColumn("nth", numbered)
+    right = mixed.withColumn("nth", numbered).withColumnsRenamed({c: f"_{c}" for c in (*key, "nth")})
+    match = (F.col("nth") == F.col("_nth")) & (F.col("at") == F.col("_at"))
+    for c in ("doc_id", "source"):
+        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return left.join(right, match).select("row", "size", "source_size", "target", "pieces")
