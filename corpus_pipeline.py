@@ -48,7 +48,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The drawn mixture of the sources: all columns of the documents, the words taken of each, and where its pieces go."""
-    mixed = mixing.mix(docs, carry=True)
+    mixed = mixing.with_rows(mixing.mix(docs), docs)
     added = ("size", "source_size", "target", "pieces")
     # a document's own column of such a name gives way
     own = (F.col("row").getField(c).alias(c) for c in docs.columns if c not in (*added, "taken"))
