@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakespark.llm.common import Words, lists, map_arrow, mix, signed, slices
@@ -178,51 +178,6 @@ def _parts(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(by).agg(need.cast("long").alias("parts"))
 
 
-def _once(rows: DataFrame) -> DataFrame:
-    """``rows`` (node, n, key) with the keys of equal sets of nodes reduced to one."""
-    lanes = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "node"), 24)).alias(f"s{i}") for i in range(2)]
-    sets = rows.groupBy("key").agg(F.count("*").alias("c"), *lanes)
-    chosen = sets.groupBy("c", "s0", "s1").agg(F.min("key").alias("key"))
-    return rows.join(chosen.select("key"), "key", "left_semi")
-
-
-def rare_keys(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, n, key): the rarest shingles of each row of ``nodes`` (node, n, text), as many as no linked pair can avoid to share.
-
-    Rarity is that within ``nodes``. Two texts that have only a common form in common share none of them.
-    """
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text"), k)
-        sizes = np.array([len(s) for s in sets])
-        rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
-        return pa.RecordBatch.from_arrays([batch.column("node").take(rows), pa.array(np.repeat(sizes, sizes)), pa.array(signed(np.concatenate(sets)))], ["node", "n", "key"])
-
-    every = settle(map_arrow(nodes.select("node", "text"), run, "node long, n long, key long"))
-    common = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    ordered = every.join(common, "key", "left").withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("c", F.lit(1)), "key")))
-    return ordered.where(F.col("c").isNotNull() & (F.col("nth") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("node", "n", "key")
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (g, h, node, of) of bounded groups in which every two nodes of different components under a key meet.
-
-    The largest component of a key needs no comparison with itself: its blocks meet those of the others, and those meet each other.
-    """
-    sizes = rows.groupBy("key", "of").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("c", "of"))["of"].alias("largest"))
-    sides = rows.join(largest, "key").withColumn("main", F.col("of") == F.col("largest"))
-    need = F.greatest(F.ceil(F.count("*") / (GROUP_ROWS // 2)), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("long")
-    parts = sides.groupBy("key", "main").agg(need.alias("parts"))
-    parts = parts.groupBy("key").agg(F.max(F.when(~F.col("main"), F.col("parts"))).alias("others"), F.max(F.when(F.col("main"), F.col("parts"))).alias("mains"))
-    every = F.col("others") + F.col("mains")
-    block = F.when(F.col("main"), F.col("others") + _part_of(F.col("node"), F.col("mains"))).otherwise(_part_of(F.col("node"), F.col("others")))
-    dealt = sides.join(parts, "key").withColumn("block", block)
-    met = F.filter(F.sequence(F.lit(0).cast("long"), F.when(F.col("main"), F.col("others")).otherwise(every) - 1), lambda j: j != F.col("block"))
-    pairs = dealt.select("node", "of", F.col("key").alias("g"), "block", every.alias("every"), F.explode(met).alias("other"))
-    return pairs.select("node", "of", "g", (F.least("block", "other") * F.col("every") + F.greatest("block", "other")).alias("h"))
-
-
 def _part_of(node, parts):
     return F.pmod(F.xxhash64(node, F.lit("part")), parts)
 
@@ -240,9 +195,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     2. Every representative meets, hub by hub, the smallest representative of the band
        that it shares most often; hubs with many partners are split into bounded groups.
     3. Keys under which documents of different components still meet give the remaining
-       candidates: first each document in its largest group, then key by key (keys of equal groups once). Documents of keys too large for one group
-       meet under their rarest shingles instead, which loses no link; what is still too large after that is
-       compared block by block, its largest component only with the others. Only links of a spanning forest leave a task.
+       candidates. Their groups are compared block by block, so no pair that shares a
+       key stays untested. Only links of a spanning forest leave a task.
     """
     rows = settle(sketch(docs, k, percent))
     copies = settle(
@@ -268,24 +222,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hubs = parts.select(F.col("hub").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("h"), F.col("hub").alias("node"))
     first = settle(confirm(spokes.union(hubs).withColumn("of", F.col("node")).join(texts, "node"), k, percent))
 
-    left = _open_keys(banded, components(first))
-    # every node once, in a part of its largest group: what is alike in a crowd mostly comes together here
-    sized = left.join(left.groupBy("key").agg(F.count("*").alias("size")), "key")
-    crowd = settle(sized.groupBy("node", "n", "of").agg(F.max(F.struct("size", "key"))["key"].alias("key")))
-    dealt = crowd.join(_parts(crowd, "key"), "key").select("node", "of", F.col("key").alias("g"), _part_of(F.col("node"), F.col("parts")).alias("h"))
-    found = first.union(settle(confirm(dealt.join(texts, "node"), k, percent)))
-
-    left = _open_keys(left.drop("of"), components(found))
-    large = _parts(left, "key").where("parts > 1").select("key")
-    small = _once(left.join(large, "key", "left_anti"))
-    found = found.union(settle(confirm(small.select("node", "of", F.col("key").alias("g"), F.lit(0).alias("h")).join(texts, "node"), k, percent)))
-
-    crowded = settle(left.join(large, "key", "left_semi").select("node").distinct())
-    if not crowded.isEmpty():
-        rare = settle(_once(_open_keys(rare_keys(texts.join(crowded, "node", "left_semi"), k, percent), components(found))))
-        found = found.union(settle(confirm(_blocks(rare).join(texts, "node"), k, percent)))
+    known = components(first)
+    open_rows = (
+        banded.join(known, "node", "left")
+        .select("node", "n", "key", F.coalesce("component", "node").alias("of"))
+    )
+    mixed = settle(_shared_keys(open_rows, "of", "of", "least"))
+    # what is linked already counts as one node of the graph of shared keys
+    groups = components(mixed.where("of <> least").select(F.col("of").alias("a"), F.col("least").alias("b")).distinct())
+    members = mixed.select("node", "n", "of").distinct().join(groups.withColumnRenamed("node", "of"), "of")
+    members = settle(members.select("node", "n", "of", "component"))
+    parts = _parts(members, "component")
+    blocks = members.join(parts, "component").withColumn("block", _part_of(F.col("node"), F.col("parts")))
+    # block i meets block j in group (i, j), i < j; a lone block meets itself
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.col("parts") == 1) | (j != F.col("block"))))
+    pairs = blocks.select("node", "of", F.col("component").alias("g"), "parts", "block", other.alias("other")).select(
+        "node", "of", "g", (F.least("block", "other") * F.col("parts") + F.greatest("block", "other")).alias("h")
+    )
+    second = settle(confirm(pairs.join(texts, "node"), k, percent))
 
-    final = components(found)
+    final = components(first.union(second))
     return placed.join(final, "node", "left").select(
         "doc_id",
         "n_shingles",
@@ -294,12 +250,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def _open_keys(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows (node, n, key, of) of keys under which nodes of different components still meet; ``of`` is the component."""
-    of = F.coalesce("component", "node").alias("of")
-    return settle(_shared_keys(rows.join(known, "node", "left").select("node", "n", "key", of), "of", "of").select("node", "n", "key", "of"))
-
-
 def _shared_keys(rows: DataFrame, by: str, *more: str) -> DataFrame:
     """Rows (node, n, hub, ...) of keys that hold several values of ``by``, with the key's smallest node as hub."""
     shared = rows.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most"), F.min("node").alias("hub")).where("least < most")
