@@ -26,6 +26,8 @@ BANDS, BAND_VALUES = 40, 6
 #: Sets of up to so many shingles find each other exactly.
 SMALL = 50
 PERMUTATIONS = BANDS * BAND_VALUES // 2
+#: Sets above ``LONG`` shingles are told apart by ``VALUES`` signature values where too many share keys.
+LONG, VALUES = 160, 128
 #: Documents and shingles of one confirmation group.
 GROUP_ROWS, GROUP_SHINGLES = 48, 2_000_000
 
@@ -53,9 +55,9 @@ def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """Keys (documents, BANDS) of the min-max signatures; no set may be empty."""
-    values = np.empty((len(sets), 2 * PERMUTATIONS), np.uint32)
+def signatures(sets: list[np.ndarray], permutations: int) -> np.ndarray:
+    """Smallest and largest image (documents, 2 * permutations) of each set; no set may be empty."""
+    values = np.empty((len(sets), 2 * permutations), np.uint32)
     sizes = np.array([len(s) for s in sets])
     a = 0
     while a < len(sets):
@@ -64,12 +66,17 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
         x = (np.concatenate(sets[a:b]) >> np.uint64(32)).astype(np.uint32)
         starts = np.concatenate(([0], ends[: b - a - 1]))
         image = np.empty_like(x)
-        for j in range(PERMUTATIONS):
+        for j in range(permutations):
             np.multiply(x, _FACTORS[j], out=image)
             values[a:b, 2 * j] = np.minimum.reduceat(image, starts)
             values[a:b, 2 * j + 1] = np.maximum.reduceat(image, starts)
         a = b
-    parts = values.reshape(len(sets), BANDS, BAND_VALUES).astype(np.uint64)
+    return values
+
+
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Keys (documents, BANDS) of the min-max signatures; no set may be empty."""
+    parts = signatures(sets, PERMUTATIONS).reshape(len(sets), BANDS, BAND_VALUES).astype(np.uint64)
     keys = np.broadcast_to(mix(np.arange(7, 7 + BANDS, dtype=np.uint64)), parts.shape[:2]).copy()
     for j in range(BAND_VALUES):
         keys = mix(keys + parts[:, :, j])
@@ -178,6 +185,85 @@ def _parts(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(by).agg(need.cast("long").alias("parts"))
 
 
+def least_agreement(percent: int) -> int:
+    """So many of ``VALUES`` signature values agree at least between linked sets, but for 6.5 standard deviations."""
+    p = percent / 100
+    return max(1, int(VALUES * p - 6.5 * (VALUES * p * (1 - p)) ** 0.5))
+
+
+def rare_keys(nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, n, of, key): the rarest items of each of ``nodes`` (node, of, text), as many as no linked pair can avoid to share.
+
+    Items of a set of up to ``LONG`` shingles are those, so that nothing is missed; larger sets have the values of a
+    signature as items, ``VALUES`` whatever their length. Sets that may meet one of the other sort have both. Rarest are
+    items that one component ``of`` has for itself, which lead nowhere, then those of few nodes. Two
+    texts that have only a common form in common share none of the rest.
+    """
+    reach = LONG * 100 // percent
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        sets = shingle_sets(batch.column("text"), k)
+        picked = [(i, False, s) for i, s in enumerate(sets) if 0 < len(s) <= reach]
+        large = [i for i, s in enumerate(sets) if len(s) > LONG]
+        if large:
+            place = np.arange(1, VALUES + 1, dtype=np.uint64) << np.uint64(32)
+            picked += [(i, True, mix(v | place)) for i, v in zip(large, signatures([sets[i] for i in large], VALUES // 2).astype(np.uint64), strict=True)]
+        if not picked:
+            return None
+        counts = np.array([len(items) for _, _, items in picked])
+        rows = pa.array(np.repeat([i for i, _, _ in picked], counts))
+        columns = [
+            batch.column("node").take(rows),
+            batch.column("of").take(rows),
+            pa.array(np.repeat([len(sets[i]) for i, _, _ in picked], counts)),
+            pa.array(np.repeat([sort for _, sort, _ in picked], counts)),
+            pa.array(signed(np.concatenate([items for _, _, items in picked]))),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["node", "of", "n", "signed", "key"])
+
+    every = settle(map_arrow(nodes.select("node", "of", "text"), run, "node long, of long, n long, signed boolean, key long"))
+    shared = every.groupBy("key").agg(F.min("of").alias("least"), F.max("of").alias("most"), F.count("*").alias("c")).where("least < most")
+    ordered = every.join(shared.select("key", "c"), "key").groupBy("node", "of", "n", "signed").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("items"))
+    own = F.when(F.col("signed"), F.lit(VALUES)).otherwise(F.col("n")) - F.size("items")
+    need = F.when(F.col("signed"), F.lit(VALUES - least_agreement(percent) + 1)).otherwise(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    room = F.greatest(need - own, F.lit(0)).cast("int")
+    return ordered.select("node", "n", "of", F.explode(F.slice("items", F.lit(1), room)["key"]).alias("key"))
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, n, of, key) with the keys of equal sets of nodes reduced to one."""
+    lanes = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "node"), 32)).alias(f"s{i}") for i in range(2)]
+    sets = rows.groupBy("key").agg(F.count("*").alias("c"), *lanes)
+    chosen = sets.groupBy("c", "s0", "s1").agg(F.min("key").alias("key"))
+    return rows.join(chosen.select("key"), "key", "left_semi")
+
+
+def _open_keys(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows (node, n, of, key) of keys under which different components of ``links`` still meet, with each node's component."""
+    of = F.coalesce("component", "node").alias("of")
+    placed = rows.select("node", "n", "key").distinct().join(components(links), "node", "left").select("node", "n", "key", of)
+    return settle(_shared_keys(placed, "of", "of").select("node", "n", "of", "key"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (g, h, node, of) of bounded groups in which every two nodes of different components under a key meet.
+
+    The largest component of a key needs no comparison with itself: its blocks meet those of the others, and those meet each other.
+    """
+    sizes = rows.groupBy("key", "of").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("c", "of"))["of"].alias("largest"))
+    sides = rows.join(largest, "key").withColumn("main", F.col("of") == F.col("largest"))
+    need = F.greatest(F.ceil(F.count("*") / (GROUP_ROWS // 2)), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("long")
+    parts = sides.groupBy("key", "main").agg(need.alias("parts"))
+    parts = parts.groupBy("key").agg(F.max(F.when(~F.col("main"), F.col("parts"))).alias("others"), F.max(F.when(F.col("main"), F.col("parts"))).alias("mains"))
+    every = F.col("others") + F.col("mains")
+    block = F.when(F.col("main"), F.col("others") + _part_of(F.col("node"), F.col("mains"))).otherwise(_part_of(F.col("node"), F.col("others")))
+    dealt = sides.join(parts, "key").withColumn("block", block)
+    met = F.filter(F.sequence(F.lit(0).cast("long"), F.when(F.col("main"), F.col("others")).otherwise(every) - 1), lambda j: j != F.col("block"))
+    pairs = dealt.select("node", "of", F.col("key").alias("g"), "block", every.alias("every"), F.explode(met).alias("other"))
+    return pairs.select("node", "of", "g", (F.least("block", "other") * F.col("every") + F.greatest("block", "other")).alias("h"))
+
+
 def _part_of(node, parts):
     return F.pmod(F.xxhash64(node, F.lit("part")), parts)
 
@@ -194,9 +280,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     1. Exact copies of a set collapse to the smallest doc_id (a combining aggregate).
     2. Every representative meets, hub by hub, the smallest representative of the band
        that it shares most often; hubs with many partners are split into bounded groups.
-    3. Keys under which documents of different components still meet give the remaining
-       candidates. Their groups are compared block by block, so no pair that shares a
-       key stays untested. Only links of a spanning forest leave a task.
+    3. Documents under keys where different components still meet are keyed anew, by
+       their rarest items (``rare_keys``): each is compared in its largest group, then
+       key by key, in bounded blocks where a group is large. Only links of a spanning forest leave a task.
     """
     rows = settle(sketch(docs, k, percent))
     copies = settle(
@@ -222,26 +308,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hubs = parts.select(F.col("hub").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("h"), F.col("hub").alias("node"))
     first = settle(confirm(spokes.union(hubs).withColumn("of", F.col("node")).join(texts, "node"), k, percent))
 
-    known = components(first)
-    open_rows = (
-        banded.join(known, "node", "left")
-        .select("node", "n", "key", F.coalesce("component", "node").alias("of"))
-    )
-    mixed = settle(_shared_keys(open_rows, "of", "of", "least"))
-    # what is linked already counts as one node of the graph of shared keys
-    groups = components(mixed.where("of <> least").select(F.col("of").alias("a"), F.col("least").alias("b")).distinct())
-    members = mixed.select("node", "n", "of").distinct().join(groups.withColumnRenamed("node", "of"), "of")
-    members = settle(members.select("node", "n", "of", "component"))
-    parts = _parts(members, "component")
-    blocks = members.join(parts, "component").withColumn("block", _part_of(F.col("node"), F.col("parts")))
-    # block i meets block j in group (i, j), i < j; a lone block meets itself
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.col("parts") == 1) | (j != F.col("block"))))
-    pairs = blocks.select("node", "of", F.col("component").alias("g"), "parts", "block", other.alias("other")).select(
-        "node", "of", "g", (F.least("block", "other") * F.col("parts") + F.greatest("block", "other")).alias("h")
-    )
-    second = settle(confirm(pairs.join(texts, "node"), k, percent))
+    left = _open_keys(banded, first)
+    crowd = left.select("node", "of").distinct()
+    rare = settle(_once(settle(rare_keys(texts.join(crowd, "node"), k, percent))))
+    # every node once, in a part of its largest group: what is alike in a crowd mostly comes together here
+    sized = rare.join(rare.groupBy("key").agg(F.count("*").alias("size")), "key")
+    nearest = settle(sized.groupBy("node", "n", "of").agg(F.max(F.struct("size", "key"))["key"].alias("key")))
+    dealt = nearest.join(_parts(nearest, "key"), "key").select("node", "of", F.col("key").alias("g"), _part_of(F.col("node"), F.col("parts")).alias("h"))
+    found = first.union(settle(confirm(dealt.join(texts, "node"), k, percent)))
+
+    left = _once(_open_keys(rare, found))
+    found = found.union(settle(confirm(_blocks(left).join(texts, "node"), k, percent)))
 
-    final = components(first.union(second))
+    final = components(found)
     return placed.join(final, "node", "left").select(
         "doc_id",
         "n_shingles",
