@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakespark.functions.flags import FlagMap
 from lakespark.functions.indices import DETECTION_LIMIT
-from lakespark.operators.membership import assign_lake, scene_candidate_lakes
+from lakespark.operators.membership import assign_lake, for_each_lake, same_outline, scene_candidate_lakes
 from lakespark.operators.qa import native_qa
 from lakespark.operators.stats import lake_window_stats, with_lake_metadata
 from lakespark.plans.ledger import ledger_update, ledger_upsert, ledger_version, read_ledger, write_ledger
@@ -27,14 +27,16 @@ def native_observations(
     config_hash: str,
     shore_buffer_m: float = 0.0,
     pairs: DataFrame | None = None,
+    every: bool = False,
     **qa_options,
 ) -> DataFrame:
     """Native rows of every scene, in the candidate lakes of that scene (``pairs``, found here if not given).
 
-    Where lakes overlap, the first one among the candidates of the pixel's scene has it.
+    Where lakes overlap, the first one among the candidates of the pixel's scene has it; with ``every`` all outlines
+    have it, each under its first lake in the scene.
     """
     pairs = scene_candidate_lakes(scenes, lakes) if pairs is None else pairs
-    placed = assign_lake(pixels, lakes, erode_m=shore_buffer_m, pairs=pairs)
+    placed = assign_lake(pixels, lakes, erode_m=shore_buffer_m, pairs=pairs, every=every)
     meta = scenes.select(
         "scene_id", F.col("name").alias("scene_name"), F.col("start").alias("acquisition_start")
     )
@@ -53,7 +55,7 @@ def _clear_emptied(scenes: DataFrame, filled: DataFrame, config_hash: str, root:
     named = scenes.select(F.col("scene_id").cast("string").alias("scene_id"), F.col("name").alias("scene_name"), F.col("start").alias("acquisition_start"))
     emptied = settle(with_layout(named.join(filled, "scene_id", "left_anti")).withColumn("config_hash", F.lit(config_hash)))
     clear_folders(emptied.select(scene_folder([*LAYOUT, "scene_id", "config_hash"]).alias("folder")), f"{root}/native")
-    for kind in ("stats", "manifest"):
+    for kind in ("stats", "manifest", "outlines"):
         clear_folders(emptied.select(scene_folder(["config_hash", "scene_id"]).alias("folder")), f"{root}/{kind}")
 
 
@@ -74,6 +76,7 @@ def ingest(
     config_hash: str,
     root: str,
     ledger_path: str | None = None,
+    every: bool = False,
     **options,
 ) -> DataFrame:
     """Store native rows, statistics and manifest below ``root``; returns the ledger changes.
@@ -82,11 +85,14 @@ def ingest(
     stored, which its id marks. The rows that the write itself counted must all be found there. Scenes without
     candidate lakes become ``skipped_no_lakes``; scenes that yield no rows lose those of an earlier run. With
     ``ledger_path`` the changes are committed to the stored ledger as one version.
+
+    With ``every`` a pixel counts in each lake that holds it. Native rows are stored once for an outline, however many lakes
+    have it, under the first of them; ``root``/outlines names the lakes of each, and all of them have statistics.
     """
     version = ledger_version(spark, ledger_path) if ledger_path else 0
     run = uuid.uuid4().hex
     pairs = settle(scene_candidate_lakes(scenes, lakes))
-    native = native_observations(pixels, scenes, lakes, flag_map, config_hash, pairs=pairs, **options).withColumn("ingest_id", F.lit(run))
+    native = native_observations(pixels, scenes, lakes, flag_map, config_hash, pairs=pairs, every=every, **options).withColumn("ingest_id", F.lit(run))
     written = Observation("native rows")
     write_native(native.observe(written, F.count(F.lit(1)).alias("rows")), f"{root}/native")
 
@@ -100,6 +106,14 @@ def ingest(
             F.count_distinct("window_id", "Hylak_id").alias("stats_rows"),
         )
     )
+    outlines = None
+    if every:
+        outlines = same_outline(lakes, pairs=pairs).withColumn("scene_id", F.col("scene_id").cast("string"))
+        write_stats(outlines.withColumn("config_hash", F.lit(config_hash)), f"{root}/outlines")
+        outlines = settle(outlines)
+        found = mine_of_store().select("scene_id", "window_id", "Hylak_id").distinct()
+        told = for_each_lake(found, outlines).groupBy("scene_id").agg(F.count(F.lit(1)).alias("stats_rows"))
+        rows = settle(rows.drop("stats_rows").join(told, "scene_id"))
     there = rows.agg(F.coalesce(F.sum("native_rows"), F.lit(0))).head()[0]
     if there != (counted := _rows(written)):
         raise RuntimeError(f"{there} of {counted} native rows were found again")
@@ -108,7 +122,8 @@ def ingest(
     files = mine_of_store()
     stored = with_missing_columns(files, NATIVE)
     keys = ["scene_id", "config_hash", "window_id", "Hylak_id"]
-    write_stats(with_lake_metadata(lake_window_stats(stored, keys), lakes), f"{root}/stats")
+    stats = lake_window_stats(stored, keys)
+    write_stats(with_lake_metadata(stats if outlines is None else for_each_lake(stats, outlines), lakes), f"{root}/stats")
 
     of_scene = pairs.groupBy(F.col("scene_id").cast("string").alias("scene_id")).agg(F.count(F.lit(1)).alias("candidate_lakes"))
     manifest = settle(scene_manifest(files, stored.select("scene_id", "window_id").distinct(), of_scene))

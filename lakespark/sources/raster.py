@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakespark.operators.membership import assign_lake
+from lakespark.operators.membership import assign_lake, every_lake
 
 # geotransform: (x origin, x step, y origin, y step); y step is negative for north-up rasters
 GeoTransform = Sequence[float]
@@ -45,6 +45,7 @@ def lake_windows(bounds: DataFrame, geotransform: GeoTransform, width: int, heig
     ).where((F.col("col1") > F.col("col0")) & (F.col("row1") > F.col("row0")))
 
 
-def cells_in_lakes(raster: DataFrame, geotransform: GeoTransform, lakes: DataFrame) -> DataFrame:
-    """Cells whose centre lies strictly inside a lake."""
-    return assign_lake(reference_cells(raster, geotransform), lakes).where(F.col("Hylak_id") > 0)
+def cells_in_lakes(raster: DataFrame, geotransform: GeoTransform, lakes: DataFrame, every: bool = False) -> DataFrame:
+    """Cells whose centre lies strictly inside a lake; with ``every`` once for each such lake."""
+    assign = every_lake if every else assign_lake
+    return assign(reference_cells(raster, geotransform), lakes).where(F.col("Hylak_id") > 0)

@@ -15,7 +15,7 @@ SHIFTS = {
     "orders": {"o_orderkey": 150000},
     "lineitem": {"l_orderkey": 150000, "l_partkey": 20000, "l_suppkey": 1000},
 }
-NAMES = ["j01_assign_lake", "j02_inside_eroded", "q01_a01_from_geometry"]
+NAMES = ["j01_assign_lake", "j02_inside_eroded", "q01_a01_from_geometry", "r07_ingest_native"]
 
 
 @pytest.fixture(scope="module")
