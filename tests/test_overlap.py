@@ -15,7 +15,19 @@ SHIFTS = {
     "orders": {"o_orderkey": 150000},
     "lineitem": {"l_orderkey": 150000, "l_partkey": 20000, "l_suppkey": 1000},
 }
-NAMES = ["j01_assign_lake", "j02_inside_eroded", "q01_a01_from_geometry", "r07_ingest_native"]
+NAMES = [
+    "j01_assign_lake",
+    "j02_inside_eroded",
+    "q01_a01_from_geometry",
+    "r07_ingest_native",
+    "s07_reference_cells",
+    "j15_regularize",
+    "j16_complete_science_grid",
+    "a11_pair_coverage",
+    "a14_binned_medians",
+    "j17_compare_native_first",
+    "j18_compare_qa_first",
+]
 
 
 @pytest.fixture(scope="module")
