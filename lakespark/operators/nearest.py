@@ -33,14 +33,14 @@ def search_radius(resolution_m: float) -> float:
     return max(NEAREST_RADIUS_M, 2.0 * float(resolution_m))
 
 
-def _cubes(names: Sequence[str], size: Column) -> dict[str, Column]:
-    return {n: F.floor(F.col(a) / size).cast("long") for n, a in zip(names, ("_x", "_y", "_z"))}
+def _cubes(names: Sequence[str], size: Column, axes: Sequence[str] = ("_x", "_y", "_z")) -> dict[str, Column]:
+    return {n: F.floor(F.col(a) / size).cast("long") for n, a in zip(names, axes)}
 
 
-def _box_distance2(names: Sequence[str], size: Column) -> Column:
-    """Squared distance from the target to a cube given by its indices."""
+def _box_distance2(names: Sequence[str], size: Column, axes: Sequence[str] = ("_tx", "_ty", "_tz")) -> Column:
+    """Squared distance from a point to a cube given by its indices."""
     total = F.lit(0.0)
-    for n, axis in zip(names, ("_tx", "_ty", "_tz")):
+    for n, axis in zip(names, axes):
         lo = F.col(n) * size
         gap = F.greatest(lo - F.col(axis), F.col(axis) - (lo + size), F.lit(0.0))
         total = total + gap * gap
@@ -103,14 +103,20 @@ def nearest_within(
     on: Sequence[str],
     target_id: Sequence[str],
     spherical: bool,
+    spread: str = "targets",
 ) -> DataFrame:
     """Every target with ``d2`` and ``obs_id`` of its nearest pixel in reach, else NULL.
 
     Both sides carry ``_reach`` (a function of ``on``) and coordinates: ``_tx _ty _tz``
     on targets, ``_x _y _z`` on pixels. Equal distances go to the smaller obs_id.
     Targets without coordinates find nothing.
+
+    ``spread`` names the side that travels to every cube in reach, best the smaller one. Spread pixels meet a target
+    in its own cube only, which is twice as wide then, and the choice needs no exchange after the join.
     """
     on, target_id = list(on), list(target_id)
+    if spread == "pixels":
+        return _nearest_at_home(targets, pixels, on, target_id, spherical)
     cube = F.col("_reach") * F.lit(2.0)
     reach2 = F.col("_reach") * F.col("_reach") * F.lit(_ROUND)
 
@@ -147,6 +153,30 @@ def nearest_within(
     return _answer(best, targets.columns)
 
 
+def _nearest_at_home(targets: DataFrame, pixels: DataFrame, on: list[str], target_id: list[str], spherical: bool) -> DataFrame:
+    cube = F.col("_reach") * F.lit(4.0)
+    reach2 = F.col("_reach") * F.col("_reach") * F.lit(_ROUND)
+    places = pixels.groupBy(*on, "_reach", "_x", "_y", "_z").agg(F.min("obs_id").alias("obs_id"))
+    for n, axis in zip(_CUBE, ("_x", "_y", "_z")):
+        reach = F.col("_reach") * _ROUND
+        span = F.sequence(*(F.floor((F.col(axis) + side) / cube).cast("long") for side in (-reach, reach)))
+        places = places.withColumn(n, F.explode(span))
+    useful = _box_distance2(_CUBE, cube, ("_x", "_y", "_z")) <= reach2
+    if spherical:
+        useful = useful & _meets_sphere(cube)
+    places = places.where(useful).drop("_reach")
+    homed = targets.withColumns(_cubes(_CUBE, cube, ("_tx", "_ty", "_tz")))
+    rest = [F.first(c).alias(c) for c in targets.columns if c not in target_id and c not in on]
+    best = (
+        homed.join(places, [*on, *_CUBE], "left")
+        .withColumn("_d2", _point_distance2())
+        # the keys of the join are keys here too, so what they brought together stays together
+        .groupBy(*target_id, *(c for c in on if c not in target_id), *_CUBE)
+        .agg(*rest, F.min(F.when(F.col("_d2") <= reach2, _ordered())).alias("_key"))
+    )
+    return _answer(best, targets.columns)
+
+
 def _answer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({"d2": _key_distance2(), "obs_id": _key_obs()}).select(
         *columns, "d2", "obs_id"
@@ -170,6 +200,7 @@ def nearest_on_sphere(
     on: Sequence[str] = ("scene_id", "Hylak_id"),
     lat: str = "latitude",
     lon: str = "longitude",
+    spread: str = "targets",
 ) -> DataFrame:
     """Targets with ``obs_id`` and ``match_distance_m``; NULL when nothing is in reach.
 
@@ -182,7 +213,7 @@ def nearest_on_sphere(
     located = pixels.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     p = _on_sphere(located, "latitude", "longitude", ("_x", "_y", "_z")).withColumn("_reach", reach)
     metres = geo.chord_to_metres(F.sqrt("d2"))
-    found = nearest_within(t, p, on, target_id, spherical=True).withColumn("_m", metres)
+    found = nearest_within(t, p, on, target_id, spherical=True, spread=spread).withColumn("_m", metres)
     near = F.col("_m") <= radius_m
     return found.select(
         *targets.columns,
@@ -195,7 +226,7 @@ def same_lake_nearest(
     targets: DataFrame, pixels: DataFrame, radius_m: float, target_id: Sequence[str]
 ) -> DataFrame:
     """Nearest pixel of the same scene and lake, chosen before QA is looked at."""
-    return nearest_on_sphere(targets, pixels, radius_m, target_id)
+    return nearest_on_sphere(targets, pixels, radius_m, target_id, spread="pixels")
 
 
 def same_lake_nearest_mercator(
@@ -220,7 +251,7 @@ def same_lake_nearest_mercator(
         .withColumns({"_tx": F.col("x"), "_ty": F.col("y"), "_tz": F.lit(0.0)})
         .withColumn("_reach", F.lit(float(radius_m)) * F.col("_scale"))
     )
-    found = nearest_within(t, p, on, target_id, spherical=False)
+    found = nearest_within(t, p, on, target_id, spherical=False, spread="pixels")
     return found.select(
         *targets.columns, "obs_id", (F.sqrt("d2") / F.col("_scale")).alias("match_distance_m")
     )
