@@ -27,6 +27,11 @@ NAMES = [
     "a14_binned_medians",
     "j17_compare_native_first",
     "j18_compare_qa_first",
+    "j03_candidate_counts",
+    "j07_lakes_for_window",
+    "j10_inside_any_lake",
+    "j12_same_lake_nearest",
+    "j14_dedupe_targets",
 ]
 
 
@@ -48,3 +53,27 @@ def test_overlapping_lakes(spark, piled, name):
     for t in TABLES:
         con.execute(f"create or replace view {t} as select * from '{piled}/{t}.parquet/*.parquet'")
     assert differences(QUERIES[name](spark, piled), con, ORACLES[name]) is None
+
+
+def test_windows_of_equal_footprints(spark):
+    from lakespark import fixtures as fx
+    from lakespark.operators.membership import scene_candidate_lakes
+    from lakespark.plans.windows import plan_scene_windows, plan_windows
+
+    root = SF
+    scenes, lakes = fx.scenes(spark, root).where("scene_id < 400"), fx.lakes(spark, root)
+    pairs = scene_candidate_lakes(scenes, lakes).join(lakes.select("Hylak_id", "polygons"), "Hylak_id")
+    options = {"margin_km": 0.3, "full_fraction": 0.6}
+    each = plan_windows(scenes, pairs, **options)
+    once = plan_scene_windows(scenes, lakes, **options).select(each.columns)
+    assert sorted(map(str, once.collect())) == sorted(map(str, each.collect()))
+
+
+def test_scenes_meet_lakes_without_an_exchange_of_scenes(spark, two_lakes):
+    """The step that gives shapes' pairs to scenes must copy the pairs, not exchange the scenes."""
+    from lakespark.operators.membership import scene_candidate_lakes
+
+    scenes = two_lakes.select(F.col("Hylak_id").alias("scene_id"), F.col("polygons").alias("footprint"))
+    met = scene_candidate_lakes(scenes, two_lakes)
+    assert "Exchange hashpartitioning" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == 4
