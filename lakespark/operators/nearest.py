@@ -23,6 +23,7 @@ from lakespark.operators.dedupe import first_by
 from lakespark.operators.qa import comparison_valid, primary_valid
 from lakespark.operators.quantiles import summarize
 from lakespark.schema import NATIVE_BANDS, NATIVE_WAVELENGTHS
+from lakespark.session import settle
 
 NEAREST_RADIUS_M = 600.0
 _CUBE = ["_cx", "_cy", "_cz"]
@@ -551,9 +552,12 @@ def nearest_ci_valid(
         F.col("longitude").alias("pixel_longitude"),
         *bands,
     )
+    near = usable.withColumn("p", F.explode(asked))
+    # the least distances first, a number that hashes, so that only pixels at it are compared as whole records
+    least = settle(near.groupBy("scene_id", F.col("p.label").alias("_label")).agg(F.min(dy * dy + dx * dx).alias("_least")))
+    near = near.withColumn("_label", F.col("p.label")).join(least, ["scene_id", "_label"]).where((dy * dy + dx * dx) == F.col("_least"))
     return (
-        usable.withColumn("p", F.explode(asked))
-        .groupBy(
+        near.groupBy(
             "scene_id",
             F.col("p.label").alias("label"),
             F.col("p.lat").alias("target_latitude"),
