@@ -30,6 +30,8 @@ PERMUTATIONS = BANDS * BAND_VALUES // 2
 LONG, VALUES = 160, 128
 #: Documents and shingles of one confirmation group.
 GROUP_ROWS, GROUP_SHINGLES = 48, 2_000_000
+#: Documents of one side of a block pair.
+BLOCK_ROWS = 96
 
 _FACTORS = (mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -246,16 +248,25 @@ def _open_keys(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (g, h, node, of) of bounded groups in which every two nodes of different components under a key meet.
+    """Rows (g, h, node, of) of bounded groups in which every two nodes of different components that share a key meet.
 
-    The largest component of a key needs no comparison with itself: its blocks meet those of the others, and those meet each other.
+    A node is at home under its largest key. Nodes with one home meet there, so under another key they are no more compared with
+    each other than the nodes of one component are. The largest such class of a key is its main side: its blocks
+    meet those of the others, and those meet each other. A crowd that shares many keys so meets under one of them.
     """
-    sizes = rows.groupBy("key", "of").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("c", "of"))["of"].alias("largest"))
-    sides = rows.join(largest, "key").withColumn("main", F.col("of") == F.col("largest"))
-    need = F.greatest(F.ceil(F.count("*") / (GROUP_ROWS // 2)), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("long")
+    sized = rows.join(rows.groupBy("key").agg(F.count("*").alias("size")), "key")
+    home = sized.groupBy("node").agg(F.max(F.struct("size", "key"))["key"].alias("home"))
+    rows = settle(rows.join(home, "node"))
+    member = F.array(F.struct(F.lit(0).alias("sort"), F.col("of").alias("id")), F.struct(F.lit(1).alias("sort"), F.col("home").alias("id")))
+    classes = rows.select("key", F.explode(F.when(F.col("home") == F.col("key"), F.slice(member, 1, 1)).otherwise(member)).alias("class"))
+    largest = classes.groupBy("key", "class").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "class"))["class"].alias("largest"))
+    own = F.when(F.col("largest.sort") == 0, F.col("of")).otherwise(F.col("home"))
+    sides = rows.join(largest, "key").withColumn("main", own == F.col("largest.id"))
+    need = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("long")
     parts = sides.groupBy("key", "main").agg(need.alias("parts"))
     parts = parts.groupBy("key").agg(F.max(F.when(~F.col("main"), F.col("parts"))).alias("others"), F.max(F.when(F.col("main"), F.col("parts"))).alias("mains"))
+    # without others all nodes of a key meet at their home
+    parts = parts.where(F.col("others").isNotNull())
     every = F.col("others") + F.col("mains")
     block = F.when(F.col("main"), F.col("others") + _part_of(F.col("node"), F.col("mains"))).otherwise(_part_of(F.col("node"), F.col("others")))
     dealt = sides.join(parts, "key").withColumn("block", block)

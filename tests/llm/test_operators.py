@@ -872,3 +872,20 @@ def test_long_payload_is_one_animation():
     file = webp.encode(payload)
     assert [row for row, _ in webp.pictures(file)] == [0, 32, 64, 96]
     assert webp.decode([file, webp.encode(bytes(192))])[0].tobytes() == payload
+
+
+def test_neardup_crowd_under_many_keys_meets_once(spark):
+    """Nodes that share many keys meet under one of them; all pairs of different components that share a key meet."""
+    rng = np.random.default_rng(3)
+    rows = [(i, 100, max(0, i - 150), k) for i in range(300) for k in range(20)]
+    rows += [(300 + i, 100, 300 + i // 2, int(k)) for i in range(80) for k in rng.choice(40, 3, replace=False)]
+    blocks = neardup._blocks(spark.createDataFrame(rows, "node long, n long, of long, key long")).collect()
+    keys, groups, of = {}, {}, {}
+    for node, _, label, k in rows:
+        keys.setdefault(k, set()).add(node)
+        of[node] = label
+    for r in blocks:
+        groups.setdefault((r.g, r.h), set()).add(r.node)
+    pairs = lambda sets: {(a, b) for s in sets for a in s for b in s if a < b and of[a] != of[b]}
+    assert pairs(keys.values()) <= pairs(groups.values())
+    assert len(blocks) < 5 * len(rows)
