@@ -85,7 +85,7 @@ DEDUPED = f"""select * from (select *, row_number() over (
 
 @query("o01_dedupe_locations", sql(f"select {i('obs_id')}, {i('scene_id')}, {i('hylak_id', 'Hylak_id')}, {r('CI')} from dd", indexed=INDEXED, nat=NATIVE, dd=DEDUPED))
 def o01(spark, sf):
-    return dedupe.dedupe_locations(native(spark, sf)).select("obs_id", "scene_id", "Hylak_id", "CI")
+    return dedupe.dedupe_locations(native(spark, sf), ["CI"]).select("obs_id", "scene_id", "Hylak_id", "CI")
 
 
 _BASES = {"CI": "ci_candidate_mask", "CI_cyano": "ci_detection_mask", "NDCI": "valid_water_mask",
@@ -109,7 +109,7 @@ A02_COLUMNS = f"""{i("count(*)", "native_lake_pixels")}, {n_of("valid_water_mask
     ),
 )
 def a02(spark, sf):
-    return stats.scene_share_stats(dedupe.dedupe_locations(native(spark, sf)))
+    return stats.scene_share_stats(dedupe.dedupe_locations(native(spark, sf), stats.SHARE_COLUMNS))
 
 
 @query(
