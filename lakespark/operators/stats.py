@@ -414,20 +414,23 @@ def lake_spectrum(native: DataFrame, keys: Sequence[str] = ("scene_id", "Hylak_i
     No QA filter: every stored pixel with a finite value counts.
     """
     keys = list(keys)
-    number = {b: int(b.split("_")[1]) for b in NATIVE_BANDS}
-    values = {b: _value(b) for b in number}
-    counts = [
-        agg(v).alias(f"{name}_{number[b]}")
-        for b, v in values.items()
-        for name, agg in (("mean_rhos", F.avg), ("std_rhos", F.stddev_pop), ("n", F.count))
-    ]
-    # bands become rows when there is one for each group
-    wide = summarize(native, keys, values, {f"median_rhos_{w}": (b, 0.5) for b, w in number.items()}, counts, uses=NATIVE_BANDS)
-    names = ("mean_rhos", "std_rhos", "n", "median_rhos")
     bands = F.array(
-        *[F.struct(F.lit(w).alias("wavelength_nm"), *(F.col(f"{c}_{w}").alias(c) for c in names)) for w in number.values()]
+        *[
+            F.struct(
+                F.lit(int(b.split("_")[1])).alias("wavelength_nm"),
+                F.col(b).cast("double").alias("rhos"),
+            )
+            for b in NATIVE_BANDS
+        ]
     )
-    return wide.select(*keys, F.explode(bands).alias("e")).select(*keys, "e.*")
+    per = [*keys, "wavelength_nm"]
+    long = native.select(*keys, F.explode(bands).alias("e")).select(*keys, "e.*")
+    counts = [
+        F.avg("rhos").alias("mean_rhos"),
+        F.stddev_pop("rhos").alias("std_rhos"),
+        F.count("rhos").alias("n"),
+    ]
+    return summarize(long, per, {"rhos": F.col("rhos")}, {"median_rhos": ("rhos", 0.5)}, counts)
 
 
 # --- product checks --------------------------------------------------------------------
