@@ -24,6 +24,7 @@ NAMES = [
     "j15_regularize",
     "j16_complete_science_grid",
     "a11_pair_coverage",
+    "a12_pair_metrics",
     "a14_binned_medians",
     "j17_compare_native_first",
     "j18_compare_qa_first",
