@@ -28,6 +28,7 @@ NAMES = [
     "a13_pair_metrics_full",
     "a14_binned_medians",
     "j17_compare_native_first",
+    "j17_compare_strict_basis",
     "j18_compare_qa_first",
     "j03_candidate_counts",
     "j07_lakes_for_window",
