@@ -38,7 +38,7 @@ def shape(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
 def query(name: str, sql: str | None = None, decimals: int = DECIMALS):
     def register(fn: Builder) -> Builder:
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return shape(fn(configure(spark), sf), decimals)
+            return shape(fn(configure(spark, wide=True), sf), decimals)
 
         QUERIES[name] = run
         if sql is not None:

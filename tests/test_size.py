@@ -21,3 +21,8 @@ def test_dedupe_carries_only_what_is_asked(spark):
     few = dedupe.dedupe_locations(df, ["CI"])
     assert len(few.columns) == 9
     assert few.exceptAll(dedupe.dedupe_locations(df).select(few.columns)).isEmpty()
+
+
+def test_wide_stages_run_in_methods_that_the_jvm_compiles(spark):
+    QUERIES["q01_q06_native_qa"](spark, SF)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
