@@ -1,6 +1,7 @@
-"""Exact grouped quantiles and average ranks in one plan for groups of any size.
+"""Exact grouped quantiles and average ranks for groups of any size.
 
-Two passes over the rows. The first counts values in a fixed set of buckets (logarithmic, sign-aware,
+The values of a group of at most ``WHOLE`` rows meet in one row and are sorted there. Larger groups take
+two passes over their rows. The first counts values in a fixed set of buckets (logarithmic, sign-aware,
 monotone), which combine inside each task: a few hundred rows for each group, however large. The buckets that hold a
 requested rank, one small row for each group, then meet the rows again, and only values in those buckets are counted one
 by one. A float32 bucket of 1/8 octave holds at most 2**20 distinct values; float64 columns are
@@ -25,6 +26,8 @@ from lakespark.session import settle
 FLOAT_LADDER = (1 << 3,)
 DOUBLE_LADDER = (1 << 3, 1 << 20, 1 << 37)
 _OCTAVES = 1100  # more than the exponent range of float64 on either side of 1
+# Largest group, in rows, whose values meet in one row.
+WHOLE = 1 << 15
 
 Wanted = Mapping[str, tuple[str, float]]
 
@@ -47,11 +50,11 @@ def _before(count: str, partition: Sequence[str], order: str) -> Column:
     ) - F.col(count)
 
 
-def _ranks(p: float) -> tuple[str, str, str]:
+def _ranks(p: float, n: str = "n") -> tuple[str, str, str]:
     """Lower rank, upper rank and fraction of the quantile ``p`` of ``n`` values, as SQL."""
-    at = f"({float(p)!r}D * (n - 1))"
+    at = f"({float(p)!r}D * ({n} - 1))"
     lo = f"cast(floor({at}) as bigint)"
-    return lo, f"least({lo} + 1, n - 1)", f"({at} - floor({at}))"
+    return lo, f"least({lo} + 1, {n} - 1)", f"({at} - floor({at}))"
 
 
 def _covers(rank_lo: str, rank_hi: str) -> str:
@@ -116,8 +119,27 @@ def _quantiles(rows: DataFrame, keys: list[str], metrics: Mapping[str, Column],
         answers += [f"max(case when {mine} and {_covers(x, x)} then v end) as {n}{k}" for n, x in (("lo", lo), ("hi", hi))]
         answers.append(f"max(case when {mine} then {t} end) as t{k}")
     picked = counted.groupBy(*keys).agg(*map(F.expr, answers))
-    between = "case when t{k} = 0 or lo{k} = hi{k} then lo{k} else lo{k} + (hi{k} - lo{k}) * t{k} end"
-    return picked.select(*keys, *(F.expr(between.format(k=k)).alias(out) for k, out in enumerate(wanted)))
+    return picked.select(*keys, *(F.expr(_interpolated(f"lo{k}", f"hi{k}", f"t{k}")).alias(out) for k, out in enumerate(wanted)))
+
+
+def _interpolated(lo: str, hi: str, t: str) -> str:
+    return f"case when {t} = 0 or {lo} = {hi} then {lo} else {lo} + ({hi} - {lo}) * {t} end"
+
+
+def _whole(rows: DataFrame, keys: list[str], metrics: Mapping[str, Column], wanted: Wanted, aggs: Sequence[Column]) -> DataFrame:
+    """One row for each group, with ``aggs`` and a column for each entry of ``wanted``; a group's values are held in one row."""
+    number = {m: k for k, m in enumerate(metrics)}
+    lists = [F.collect_list(f"_v{k}").alias(f"_s{k}") for k in number.values()]
+    held = rows.groupBy(*keys).agg(*aggs, *lists)
+    held = held.withColumns({f"_s{k}": F.sort_array(f"_s{k}") for k in number.values()})
+    held = held.withColumns({f"_c{k}": F.size(f"_s{k}") for k in number.values()})
+    found = {}
+    for out, (metric, p) in wanted.items():
+        k = number[metric]
+        lo, hi, t = _ranks(p, f"_c{k}")
+        found[out] = F.expr(_interpolated(f"get(_s{k}, cast({lo} as int))", f"get(_s{k}, cast({hi} as int))", t))
+    names = [c for c in held.columns if c not in {f"_{x}{k}" for x in "sc" for k in number.values()}]
+    return held.select(*names, *(c.alias(out) for out, c in found.items()))
 
 
 def _codes(number: Mapping[str, int], per_octave: int) -> Column:
@@ -158,11 +180,23 @@ def summarize(
     values = [c.alias(n) for n, c in _values(metrics).items()]
     if uses is None:
         rows = settle(df.select(*keys, *values))
-    else:
-        df = settle(df.select(*keys, *(c for c in uses if c not in keys)))
-        rows = df.select(*keys, *values)
-    base = df.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
-    return _join_groups(base, _quantiles(rows, keys, metrics, wanted, ladder), keys, "left")
+        found = _by_size(rows, keys, metrics, wanted, (), ladder)
+        return _join_groups(df.groupBy(*keys).agg(*aggs), found, keys, "left") if aggs else found
+    rows = settle(df.select(*keys, *(c for c in uses if c not in keys)))
+    return _by_size(rows.select("*", *values), keys, metrics, wanted, aggs, ladder)
+
+
+def _by_size(rows: DataFrame, keys: list[str], metrics: Mapping[str, Column], wanted: Wanted, aggs: Sequence[Column], ladder: Sequence[int]) -> DataFrame:
+    """Aggregates and quantiles of each group of a stored table, by the way that fits the group's size."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one row for each WHOLE rows of the input at most
+    large = settle(sizes.where(F.col("_n") > WHOLE).select(*keys))
+    if large.isEmpty():
+        return _whole(rows, keys, metrics, wanted, aggs)
+    small = _whole(_join_groups(rows, F.broadcast(large), keys, "left_anti"), keys, metrics, wanted, aggs)
+    wide = _join_groups(rows, F.broadcast(large), keys, "left_semi")
+    base = wide.groupBy(*keys).agg(*aggs) if aggs else large
+    return small.unionByName(_join_groups(base, _quantiles(wide, keys, metrics, wanted, ladder), keys, "left"))
 
 
 def average_ranks(

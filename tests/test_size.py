@@ -1,8 +1,11 @@
 """Steps that must not carry more rows or columns than their results need."""
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
 from test_queries import SF
 
-from lakespark.operators import dedupe, stats
+from lakespark.operators import dedupe, quantiles, stats
 from lakespark.queries import load
 from lakespark.queries.base import native
 
@@ -26,3 +29,33 @@ def test_dedupe_carries_only_what_is_asked(spark):
 def test_wide_stages_run_in_methods_that_the_jvm_compiles(spark):
     QUERIES["q01_q06_native_qa"](spark, SF)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_values_of_bounded_groups_are_not_counted_in_buckets(spark, monkeypatch):
+    """Groups that fit one row need no passes over buckets."""
+    monkeypatch.setattr(quantiles, "_quantiles", lambda *args: pytest.fail("counted in buckets"))
+    assert stats.lake_window_stats(native(spark, SF)).count() > 0
+
+
+@pytest.mark.parametrize("whole", [0, 40, 1 << 15])
+@pytest.mark.parametrize("uses", [None, ["x", "y"]])
+def test_groups_on_both_sides_of_the_bound_agree(spark, monkeypatch, whole, uses):
+    monkeypatch.setattr(quantiles, "WHOLE", whole)
+    rows = [(k if k else None, float(i * 37 % 101) if i % 7 else None, float("inf") if i == 3 else -i / 8) for k in range(4) for i in range(1 + 30 * k)]
+    rows += [(9, None, float("nan"))] * 2
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    metrics = {"x": F.col("x"), "y": F.col("y")}
+    wanted = {"x1": ("x", 0.1), "x5": ("x", 0.5), "y9": ("y", 0.9)}
+    count = F.count(F.lit(1)).alias("rows")
+    found = quantiles.summarize(df, ["g"], metrics, wanted, [count], quantiles.DOUBLE_LADDER, uses)
+    assert found.columns == ["g", "rows", "x1", "x5", "y9"]
+    due = {}
+    for g in {r[0] for r in rows}:
+        x = [r[1] for r in rows if r[0] == g and r[1] is not None]
+        y = [r[2] for r in rows if r[0] == g and r[2] == r[2]]
+        at = [np.quantile(v, p) if v else None for v, p in ((x, 0.1), (x, 0.5), (y, 0.9))]
+        due[g] = (sum(r[0] == g for r in rows), *at)
+    got = {r.g: tuple(r)[1:] for r in found.collect()}
+    assert got.keys() == due.keys()
+    for g in due:
+        assert got[g] == pytest.approx(due[g], nan_ok=True)
