@@ -16,6 +16,8 @@ from lakespark.functions.bands import export_names
 from lakespark.operators import cover
 from lakespark.operators.membership import CELL_DEG, polygon_pieces
 from lakespark.operators.nearest import (
+    cell_latitude,
+    cell_longitude,
     dedupe_targets,
     same_lake_nearest,
     same_lake_nearest_mercator,
@@ -291,8 +293,8 @@ def raster_cells(grid: DataFrame) -> DataFrame:
         "scene_id",
         "row",
         "col",
-        (F.col("north") - (F.col("row") + 0.5) * F.col("dlat")).alias("latitude"),
-        (F.col("west") + (F.col("col") + 0.5) * F.col("dlon")).alias("longitude"),
+        cell_latitude().alias("latitude"),
+        cell_longitude().alias("longitude"),
         "resolution_m",
     )
 

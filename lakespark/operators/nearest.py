@@ -12,6 +12,7 @@ the whole is one lazy plan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -599,21 +600,68 @@ def pixel_spectrum(chosen: DataFrame) -> DataFrame:
     )
 
 
+def cell_latitude() -> Column:
+    """Of the centre of a `raster_grid` cell."""
+    return F.col("north") - (F.col("row") + 0.5) * F.col("dlat")
+
+
+def cell_longitude() -> Column:
+    return F.col("west") + (F.col("col") + 0.5) * F.col("dlon")
+
+
+def _inside_own_cell(grid: DataFrame, pixels: DataFrame, radius: Column) -> DataFrame:
+    """Nearest pixel of the cells of a `raster_grid` that have one within the circle which the cell holds.
+
+    A pixel inside that circle lies in no other cell, so none of another cell is nearer: an aggregate without a join of pairs.
+    """
+    sized = grid.select("scene_id", "west", "south", "east", "north", "dlon", "dlat", radius.alias("_radius"))
+    # where longitudes wrap or latitudes pass a pole, cells and distances do not fit together
+    sized = sized.where("east - west <= 360 and south >= -90 and north <= 90 and dlon > 0 and dlat > 0")
+    placed = pixels.join(F.broadcast(sized), "scene_id").withColumns(
+        {
+            "row": F.floor((F.col("north") - F.col("latitude")) / F.col("dlat")).cast("long"),
+            "col": F.floor((F.col("longitude") - F.col("west")) / F.col("dlon")).cast("long"),
+            "_reach": geo.metres_to_chord(F.col("_radius")),
+        }
+    )
+    centred = placed.withColumns({"_lat": cell_latitude(), "_lon": cell_longitude()})
+    both = _on_sphere(_on_sphere(centred, "_lat", "_lon", ("_tx", "_ty", "_tz")), "latitude", "longitude", ("_x", "_y", "_z"))
+    sideways = F.asin(F.cos(F.radians("_lat")) * F.sin(F.least(F.radians("dlon") / 2, F.lit(math.pi / 2))))
+    # a little less than the circle, for rounding
+    inner = 2.0 * F.sin(F.least(F.radians("dlat") / 2, sideways) / 2) * 0.99
+    near = both.withColumn("_d2", _point_distance2()).where(F.col("_d2") <= F.least(inner, "_reach") * F.least(inner, "_reach"))
+    best = near.groupBy("scene_id", "row", "col", "_radius", "_reach").agg(F.min(_ordered()).alias("_key"))
+    metres = geo.chord_to_metres(F.sqrt(_key_distance2()))
+    found = best.withColumns({"obs_id": _key_obs(), "match_distance_m": metres})
+    return found.where(F.col("match_distance_m") <= F.col("_radius")).select("scene_id", "row", "col", "obs_id", "match_distance_m")
+
+
 def swath_to_grid(
     cells: DataFrame,
     pixels: DataFrame,
     layers: Sequence[str],
     cell_id: Sequence[str] = ("scene_id", "row", "col"),
+    grid: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest pixel of the scene for every grid cell, without a lake key.
 
     ``cells`` carry the resolution that their grid has; the search reaches 2.25 times as far. Each of
-    ``layers`` is taken from that pixel.
+    ``layers`` is taken from that pixel. What is needed of the pixels is written once.
+
+    With the `raster_grid` that the cells are those of, cells with a pixel close to their centre are answered by an aggregate,
+    however dense the swath; the whole reach is searched for the others.
     """
     radius = F.greatest(F.lit(NEAREST_RADIUS_M), F.lit(2.25) * F.col("resolution_m"))
     t = cells.withColumn("_radius", radius)
+    held = settle(pixels.select("scene_id", "obs_id", "latitude", "longitude", *(c for c in layers if c not in ("latitude", "longitude"))))
+    p = held.select("scene_id", "obs_id", "latitude", "longitude")
+    found = None
+    if grid is not None:
+        seen = settle(t.join(_inside_own_cell(grid, p, radius), ["scene_id", "row", "col"], "left"))
+        found = seen.where(F.col("obs_id").isNotNull())
+        t = seen.where(F.col("obs_id").isNull()).drop("obs_id", "match_distance_m")
     # one radius for each scene
     reach = t.groupBy("scene_id").agg(F.max("_radius").alias("_radius"))
-    p = pixels.select("scene_id", "obs_id", "latitude", "longitude").join(reach, "scene_id")
-    found = nearest_on_sphere(t, p, F.col("_radius"), cell_id, ["scene_id"]).drop("_radius")
-    return found.join(pixels.select("scene_id", "obs_id", *layers), ["scene_id", "obs_id"], "left")
+    rest = nearest_on_sphere(t, p.join(reach, "scene_id"), F.col("_radius"), cell_id, ["scene_id"])
+    found = rest if found is None else found.unionByName(rest)
+    return found.drop("_radius").join(held.select("scene_id", "obs_id", *layers), ["scene_id", "obs_id"], "left")

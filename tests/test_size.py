@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_queries import SF
 
-from lakespark.operators import dedupe, quantiles, stats
+from lakespark import fixtures
+from lakespark.operators import dedupe, grids, nearest, quantiles, stats
 from lakespark.queries import load
 from lakespark.queries.base import native
 
@@ -59,3 +60,28 @@ def test_groups_on_both_sides_of_the_bound_agree(spark, monkeypatch, whole, uses
     assert got.keys() == due.keys()
     for g in due:
         assert got[g] == pytest.approx(due[g], nan_ok=True)
+
+
+def test_cells_with_a_pixel_close_to_their_centre_meet_no_others(spark, monkeypatch):
+    """Only cells without one search the whole reach, and both ways choose the same pixel."""
+    pixels = fixtures.pixels(spark, SF).where("scene_id < 2")
+    few = pixels.where("latitude < 40.2").select("scene_id", "obs_id", "latitude", "longitude", "rhos_665")
+    grid = grids.raster_grid(few, 300.0)
+    cells = grids.raster_cells(grid)
+    due = nearest.swath_to_grid(cells, few, ["rhos_665"])
+    searched, whole = [], nearest.nearest_on_sphere
+    monkeypatch.setattr(nearest, "nearest_on_sphere", lambda t, *args, **kw: searched.append(t) or whole(t, *args, **kw))
+    found = nearest.swath_to_grid(cells, few, ["rhos_665"], grid=grid)
+    assert searched[0].count() < cells.count() == found.count()
+    names = ["scene_id", "row", "col", "obs_id", "rhos_665"]
+    assert found.select(names).exceptAll(due.select(names)).isEmpty()
+
+
+def test_pixels_of_another_turn_are_not_placed_in_cells(spark):
+    """Longitudes over more than one turn: the nearest pixel may have a number 360 degrees away."""
+    rows = [(0, 1, 40.0, -170.0, 1.0), (0, 2, 40.001, 190.0005, 2.0), (0, 3, 40.002, 191.0, 3.0)]
+    df = spark.createDataFrame(rows, "scene_id long, obs_id long, latitude double, longitude double, v double")
+    grid = grids.raster_grid(df, 50000.0)
+    cells = grids.raster_cells(grid)
+    a, b = (nearest.swath_to_grid(cells, df, ["v"], grid=g).select("row", "col", "obs_id") for g in (grid, None))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
