@@ -135,3 +135,25 @@ def test_ingest_writes_manifest_and_ledger(spark, small_swath, two_lakes, tmp_pa
     # the first run without any rows
     empty = ingest(spark, pixels.where("false"), scenes, two_lakes, fx.FLAG_MAP, "c", str(tmp_path / "none"))
     assert {r.scene_id: r.stats_rows for r in empty.collect()} == {"scene": 0, "far": None}
+
+
+def test_rows_travel_narrow_and_come_back_whole(spark, tmp_path):
+    """Floats as one array, truth values (NULL too) as bits; the exchange of a native write carries no column of theirs."""
+    flags = ", ".join(f"m{i} boolean" for i in range(33))
+    rows = [(k, float("nan") if k == 2 else None if k == 1 else k / 4, -0.0, *((True, False, None)[(k + i) % 3] for i in range(33))) for k in range(4)]
+    df = spark.createDataFrame(rows, f"obs_id long, a float, b float, {flags}")
+    packed = store.narrow(df)
+    assert packed.columns == ["obs_id", "_floats", "_flags0", "_flags1"]
+    back = store.widen(packed, df)
+    assert back.dtypes == df.dtypes
+    assert list(map(str, back.orderBy("obs_id").collect())) == list(map(str, df.orderBy("obs_id").collect()))
+
+
+def test_first_of_a_key_carries_no_column_twice(spark):
+    from lakespark.operators.dedupe import first_by
+
+    df = spark.createDataFrame([(1, 2, "b", 0.5), (1, 1, "c", 0.5), (1, 1, "a", 1.5), (2, 9, None, None)], "k long, o int, t string, v double")
+    found = first_by(df, {"k": F.col("k")}, ["o", F.col("v")])
+    assert sorted(map(tuple, found.collect())) == [(1, 1, "c", 0.5), (2, 9, None, None)] and found.columns == df.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row" not in plan and "min(struct(o, o#" in plan
